@@ -1,4 +1,4 @@
-"""Column expressions for text analysis; everything but the stemmer stays inside the JVM.
+"""Column expressions for text analysis; all of it stays inside the JVM.
 
 Tokens approximate Unicode word boundaries: runs of letters, marks, digits and ``_``, joined by an inner apostrophe or
 dot. There is no segmentation of scripts written without spaces.
@@ -12,6 +12,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rookery.functions.stemming import porter_stem
+
 # The English stop list of the published analyser.
 STOP_WORDS = (
     "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this "
@@ -19,6 +21,7 @@ STOP_WORDS = (
 ).split()
 
 WORD = r"[\p{L}\p{M}\p{N}_]+(?:['’.][\p{L}\p{M}\p{N}_]+)*"
+POSSESSIVE_TAILS = tuple(mark + s for mark in "'’＇" for s in "sS")
 POSSESSIVE = r"['’＇][sS]$"
 
 # Elements that sit inside a line of text; every other tag ends the line.
@@ -63,7 +66,8 @@ def words(text: Column) -> Column:
 
 def plain_term(word: Column) -> Column:
     """Possessive cut and lower case."""
-    return F.lower(F.regexp_replace(word, POSSESSIVE, ""))
+    owner = F.substring(word, -2, 2).isin(*POSSESSIVE_TAILS)
+    return F.lower(F.when(owner, F.left(word, F.length(word) - 2)).otherwise(word))
 
 
 def folded(text: Column) -> Column:
@@ -79,98 +83,6 @@ def grams(text: Column, size: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
-# ---- stemming -------------------------------------------------------------------------------------------------------
-
-# The suffix lists of the published rules, longest match first within a step.
-_STEP2 = (
-    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"), ("abli", "able"),
-    ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"),
-    ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"),
-    ("iviti", "ive"), ("biliti", "ble"),
-)
-_STEP3 = (
-    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", ""),
-)
-_STEP4 = (
-    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou", "ism", "ate", "iti",
-    "ous", "ive", "ize",
-)
-_BY_LENGTH = {
-    2: sorted(_STEP2, key=lambda p: -len(p[0])),
-    3: sorted(_STEP3, key=lambda p: -len(p[0])),
-    4: sorted(((s, "") for s in _STEP4), key=lambda p: -len(p[0])),
-}
-
-
-def _shape(word: str) -> str:
-    """Letters as c and v; y is a vowel after a consonant."""
-    out = []
-    for i, letter in enumerate(word):
-        if letter in "aeiou" or (letter == "y" and i and out[-1] == "c"):
-            out.append("v")
-        else:
-            out.append("c")
-    return "".join(out)
-
-
-def _measure(word: str) -> int:
-    return len(re.findall("v+c+", _shape(word)))
-
-
-def _short_end(word: str) -> bool:
-    return len(word) >= 3 and _shape(word)[-3:] == "cvc" and word[-1] not in "wxy"
-
-
-def _swap(word: str, step: int) -> str:
-    for suffix, put in _BY_LENGTH[step]:
-        if word.endswith(suffix):
-            head = word[: -len(suffix)]
-            if step == 4:
-                fits = _measure(head) > 1 and (suffix != "ion" or head[-1:] in ("s", "t"))
-            else:
-                fits = _measure(head) > 0
-            return head + put if fits else word
-    return word
-
-
-def porter_stem(word: str) -> str:
-    """Suffix stripping by Porter's published 1980 rules; words of one or two letters stay as they are."""
-    if len(word) <= 2:
-        return word
-    if word.endswith(("sses", "ies")):
-        word = word[:-2]
-    elif word.endswith("s") and not word.endswith("ss"):
-        word = word[:-1]
-
-    if word.endswith("eed"):
-        if _measure(word[:-3]) > 0:
-            word = word[:-1]
-    else:
-        for suffix in ("ed", "ing"):
-            head = word[: -len(suffix)]
-            if word.endswith(suffix) and "v" in _shape(head):
-                if head.endswith(("at", "bl", "iz")):
-                    head += "e"
-                elif len(head) > 1 and head[-1] == head[-2] and _shape(head)[-1] == "c" and head[-1] not in "lsz":
-                    head = head[:-1]
-                elif _measure(head) == 1 and _short_end(head):
-                    head += "e"
-                word = head
-                break
-
-    if word.endswith("y") and "v" in _shape(word[:-1]):
-        word = word[:-1] + "i"
-    for step in (2, 3, 4):
-        word = _swap(word, step)
-    if word.endswith("e"):
-        head = word[:-1]
-        if _measure(head) > 1 or (_measure(head) == 1 and not _short_end(head)):
-            word = head
-    if word.endswith("ll") and _measure(word[:-1]) > 1:
-        word = word[:-1]
-    return word
-
-
 def analyse_query(text: str, stem: bool = True) -> list[tuple[str, int]]:
     """Terms of a query string with their positions, analysed like the documents."""
     import regex

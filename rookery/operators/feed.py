@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.operators.relational import best_per_key, top_per_key
+from rookery.workspace import literal_table
 
 FEED_SIZE = 50
 OWN_SIZE = 10
@@ -58,10 +59,10 @@ def most_popular(entities: DataFrame, counter: str, kind: str, limit: int) -> Da
     )
 
 
-def post_cards(posts: DataFrame, users: DataFrame) -> DataFrame:
-    """What a feed entry shows of a post: author card and time."""
+def post_cards(posts: DataFrame, users: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """What a feed entry shows of a post: author card, time and any counters it carries."""
     authors = users.select(F.col("id").alias("author_id"), F.col("screen_name").alias("username"))
-    cards = posts.select(F.col("id").alias("post_id"), F.col("user_id").alias("author_id"), "created_at")
+    cards = posts.select(F.col("id").alias("post_id"), F.col("user_id").alias("author_id"), "created_at", *extra)
     return cards.join(authors, "author_id")
 
 
@@ -212,7 +213,7 @@ def lookup(df: DataFrame, ids: Sequence[int], key: str = "id") -> DataFrame:
 
     The semi-filter runs first so the scan is cut to the wanted keys before the outer join.
     """
-    wanted = df.sparkSession.createDataFrame([(i,) for i in ids], f"{key} bigint")
+    wanted = literal_table(df.sparkSession, [(i,) for i in ids], f"{key} bigint")
     return wanted.join(df.filter(F.col(key).isin(*ids)), key, "left")
 
 

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rookery.operators.relational import best_per_key
-from rookery.workspace import fresh_folder
+from rookery.workspace import fresh_folder, literal_table
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -36,10 +37,9 @@ def insert_report(target: DataFrame, incoming: DataFrame, keys: Sequence[str], o
 
 def append_rows(df: DataFrame, rows: Sequence[dict], moment=None) -> DataFrame:
     """Append literal rows; ``moment`` fills created_at (the current time when not given)."""
-    spark = df.sparkSession
     names = list(rows[0])
-    schema = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
-    literal = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
+    schema = StructType([df.schema[n] for n in names])
+    literal = literal_table(df.sparkSession, [tuple(r[n] for n in names) for r in rows], schema)
     if "created_at" in df.columns and "created_at" not in names:
         when = F.current_timestamp() if moment is None else F.lit(moment)
         literal = literal.withColumn("created_at", when.cast(df.schema["created_at"].dataType))
@@ -103,7 +103,7 @@ def truncate_tables(spark, folder: str, schemas: dict) -> dict[str, DataFrame]:
     """Empty a set of stored tables, keeping their schemas."""
     out = {}
     for name, schema in schemas.items():
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/{name}")
+        literal_table(spark, [], schema).write.mode("overwrite").parquet(f"{folder}/{name}")
         out[name] = spark.read.schema(schema).parquet(f"{folder}/{name}")
     return out
 

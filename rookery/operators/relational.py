@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rookery.workspace import literal_table
+
 
 # ---- predicates -----------------------------------------------------------------------------------------------------
 def text_equals(df: DataFrame, column: str, value: str) -> DataFrame:
@@ -118,7 +120,7 @@ def left_join_flag(df: DataFrame, other: DataFrame, column: str, other_column: s
 
 def named_pairs(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Every (left, right) row pair for listed name pairs: two equi joins instead of a product."""
-    wanted = left.sparkSession.createDataFrame(list(pairs), "left_name string, right_name string")
+    wanted = literal_table(left.sparkSession, pairs, "left_name string, right_name string")
     a = left.select(F.col("name").alias("left_name"), F.struct(*left.columns).alias("a"))
     b = right.select(F.col("name").alias("right_name"), F.struct(*right.columns).alias("b"))
     return wanted.join(a, "left_name").join(b, "right_name")

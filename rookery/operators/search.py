@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rookery.functions import text as tx
 from rookery.operators import tokens as tk
 from rookery.operators.tokens import TextIndex, postings
-from rookery.workspace import fresh_folder
+from rookery.workspace import fresh_folder, literal_table
 
 K1, B = 1.2, 0.75
 Terms = Sequence[tuple[str, int]]
@@ -63,7 +63,7 @@ def term_query(index: TextIndex, term: str) -> DataFrame:
 def any_of(index: TextIndex, clauses: Sequence[Sequence[str]], minimum: int = 1) -> DataFrame:
     """Documents meeting at least ``minimum`` clauses; a clause is met by any of its terms."""
     names = [(term, i) for i, clause in enumerate(clauses) for term in clause]
-    lookup = index.tokens.sparkSession.createDataFrame(names, "term string, clause int")
+    lookup = literal_table(index.tokens.sparkSession, names, "term string, clause int")
     hits = postings(index, sorted({t for t, _ in names})).select("doc_id", "term").distinct()
     met = hits.join(F.broadcast(lookup), "term").groupBy("doc_id").agg(F.countDistinct("clause").alias("clauses"))
     return met.filter(F.col("clauses") >= minimum)
@@ -91,8 +91,9 @@ def phrase_frequency(token_rows: DataFrame, terms: Terms) -> DataFrame:
 def sloppy_frequency(token_rows: DataFrame, terms: Terms, slop: int) -> DataFrame:
     """Sloppy phrase frequency: each match of total displacement d adds 1/(1+d), in either order.
 
-    Positions are shifted by their offset in the phrase, so an exact match has all of them equal. A match starts at the
-    last occurrence of a term before the next other term; its displacement is the distance to the farthest term.
+    Positions are shifted by their offset in the phrase, so an exact match has all of them equal. A match starts at a
+    term whose next query term is another one (ties in phrase order); its displacement is the distance to the farthest
+    of the nearest later other terms.
     Terms must differ. The window holds query-term positions of one document, nothing else.
     """
     order = {term: (offset, i) for i, (term, offset) in enumerate(terms)}
@@ -106,24 +107,20 @@ def sloppy_frequency(token_rows: DataFrame, terms: Terms, slop: int) -> DataFram
         known[F.col("term")]["col2"].alias("ordinal"),
     )
     # walking backwards keeps the frame growing from one side, which is linear
-    later = (
-        Window.partitionBy("doc_id").orderBy(F.desc("at"), F.desc("ordinal"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    backwards = Window.partitionBy("doc_id").orderBy(F.desc("at"), F.desc("ordinal"))
+    later = backwards.rowsBetween(Window.unboundedPreceding, -1)
+    nearest = [F.min(F.when(F.col("ordinal") == i, F.col("at"))).over(later) for i in range(len(order))]
+    others = rows.select(
+        "doc_id", "at", "term", F.lag("term").over(backwards).alias("following"),
+        F.array(*[F.when(F.col("ordinal") != i, at) for i, at in enumerate(nearest)]).alias("reached"),
+    )
+    complete = F.size(F.array_compact("reached")) == len(order) - 1
+    matched = others.filter(complete & (F.col("following") != F.col("term"))).select(
+        "doc_id", (F.array_max("reached") - F.col("at")).alias("distance")
     )
-    nearest = {t: F.min(F.when(F.col("term") == t, F.col("at"))).over(later) for t in order}
-    for i, term in enumerate(order):
-        rows = rows.withColumn(f"_next{i}", nearest[term])
-    other = [F.when(F.col("ordinal") != i, F.col(f"_next{i}")) for i in range(len(order))]
-    own = F.coalesce(*[F.when(F.col("ordinal") == i, F.col(f"_next{i}")) for i in range(len(order))])
-    complete = F.lit(True)
-    for i in range(len(order)):
-        complete = complete & ((F.col("ordinal") == i) | F.col(f"_next{i}").isNotNull())
-    first_other = F.least(*other) if len(other) > 1 else other[0]
-    last_other = F.greatest(*other) if len(other) > 1 else other[0]
-    matched = rows.filter(complete & (own.isNull() | (own > first_other))).withColumn("_d", last_other - F.col("at"))
     return (
-        matched.filter(F.col("_d") <= slop).groupBy("doc_id")
-        .agg(F.sum(1 / (1 + F.col("_d"))).alias("frequency"))
+        matched.filter(F.col("distance") <= slop).groupBy("doc_id")
+        .agg(F.sum(1 / (1 + F.col("distance"))).alias("frequency"))
     )
 
 
@@ -132,7 +129,7 @@ def phrase(index: TextIndex, terms: Terms, slop: int = 0) -> DataFrame:
     rows = postings(index, [t for t, _ in terms])
     frequency = sloppy_frequency(rows, terms, slop) if slop else phrase_frequency(rows, terms)
     repeats = [t for t, _ in terms]
-    listed = index.tokens.sparkSession.createDataFrame([(t,) for t in repeats], "term string")
+    listed = literal_table(index.tokens.sparkSession, [(t,) for t in repeats], "term string")
     weight = listed.join(term_weights(index, sorted(set(repeats))), "term").agg(F.sum("idf").alias("_weight"))
     scored = frequency.join(index.lengths, "doc_id").crossJoin(_totals(index)).crossJoin(weight)  # one-row sides
     return scored.select(

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.functions import text as tx
+from rookery.functions.stemming import stem
 from rookery.workspace import fresh_folder
 
 # Which analysed forms each searchable field carries.
@@ -46,19 +46,17 @@ def plain_tokens(docs: DataFrame, id_column: str, text_column: str) -> DataFrame
 
 
 def stem_dictionary(terms: DataFrame) -> DataFrame:
-    """Every distinct term with its stem; the only Python step, run once per distinct term."""
-
-    def stems(batches: Iterator) -> Iterator:
-        for batch in batches:
-            yield batch.assign(stem=batch["term"].map(tx.porter_stem))
-
-    return terms.select("term").distinct().mapInPandas(stems, "term string, stem string")
+    """Every distinct term with its stem."""
+    return terms.select("term").distinct().withColumn("stem", stem(F.col("term")))
 
 
 def english_tokens(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Stemmed tokens. The dictionary join is broadcast or sort-merged by its measured size."""
-    plain = plain_tokens(docs, id_column, text_column)
-    return plain.join(stem_dictionary(plain), "term").select("doc_id", "position", F.col("stem").alias("term"))
+    """Stemmed tokens, in one pass and without a shuffle.
+
+    Joining a stem dictionary back would read the texts twice and, once the vocabulary outgrows a broadcast, shuffle
+    every token by term; stemming Arrow batches in place does neither.
+    """
+    return plain_tokens(docs, id_column, text_column).withColumn("term", stem(F.col("term")))
 
 
 def ngram_tokens(docs: DataFrame, id_column: str, text_column: str, low: int = 3, high: int = 6) -> DataFrame:

@@ -1,4 +1,4 @@
 """All registered jobs."""
 
-from rookery.plans import relational  # noqa: F401
+from rookery.plans import feeds, relational, texts, upkeep  # noqa: F401
 from rookery.plans.registry import JOBS  # noqa: F401

@@ -88,16 +88,31 @@ _ANY_VIEW = re.compile(r"\b(" + "|".join(VIEWS) + r")\b")
 class Tables:
     """Attribute access to the supplied tables and the views over them."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread_scans: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        self._spread_scans = spread_scans
+
+    def spread(self) -> Tables:
+        """The same tables for CPU-heavy row work: a scan with fewer splits than cores is dealt out over all of them.
+
+        A table of many files keeps its own splits, so at scale this adds no shuffle.
+        """
+        return self if self._spread_scans else Tables(self.spark, self.sf_dir, True)
+
+    def _scan(self, name: str) -> DataFrame:
+        scan = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if self._spread_scans and scan.rdd.getNumPartitions() < cores:
+            return scan.repartition(cores)
+        return scan
 
     def __getattr__(self, name: str) -> DataFrame:
         frames = self.__dict__["_frames"]
         if name not in frames:
             if name in BASE_TABLES:
-                frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                frames[name] = self._scan(name)
             elif name in VIEWS:
                 text = VIEWS[name]
                 used = set(_ANY_BASE.findall(text))

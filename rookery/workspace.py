@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -39,3 +43,14 @@ def stage(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = ()) -> D
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """A frame from query parameters, as a local relation: its size is known, so Spark may broadcast it."""
+    struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in struct]
+    table = pa.Table.from_arrays(
+        [pa.array(list(values), type=field.type) for values, field in zip(columns, to_arrow_schema(struct))],
+        names=struct.names,
+    )
+    return spark.createDataFrame(table, schema=struct)
