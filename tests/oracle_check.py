@@ -46,8 +46,8 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     if odd:
         return False, f"oracle types {odd}"
     if got != want:
-        only_got = [r for r in got if r not in set(want)][:2]
-        only_want = [r for r in want if r not in set(got)][:2]
+        only_got = list(set(got) - set(want))[:2]
+        only_want = list(set(want) - set(got))[:2]
         return False, f"rows {len(got)} / {len(want)}; spark only {str(only_got)[:700]}; oracle only {str(only_want)[:700]}"
     return True, f"{len(got)} rows"
 
