@@ -309,7 +309,7 @@ def _(t: Tables):
     )
 
 
-@job("n_12", f"""
+BUILD_SQL = f"""
 with {SEEN_SQL}, u as (select user_id as id from tweets where id in (select id from kept)
   union select mentioned_user_id from tweet_user_mentions where tweet_id in (select id from kept))
 select 'users' as relation, count(*) as rows from u
@@ -319,7 +319,10 @@ union all select 'hashtags', count(distinct tag) from tweet_hashtag where tweet_
 union all select 'tweet_hashtag', count(*) from tweet_hashtag where tweet_id in (select id from kept)
 union all select 'tweet_urls', count(*) from tweet_urls where tweet_id in (select id from kept)
 union all select 'tweet_user_mentions', count(*) from tweet_user_mentions where tweet_id in (select id from kept)
-union all select 'tweet_media', count(*) from tweet_media where tweet_id in (select id from kept) and media_id <> 0
+union all select 'tweet_media', count(*) from tweet_media where tweet_id in (select id from kept) and media_id <> 0"""
+
+
+@job("n_12", BUILD_SQL + """
 union all select 'refused', count(*) from seen s join tweet_media m on m.tweet_id = s.id where media_id = 0
 union all select 'below depth', 0 from (select 1) z""")
 def _(t: Tables):
