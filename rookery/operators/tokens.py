@@ -14,18 +14,18 @@ from rookery.workspace import fresh_folder
 
 # Which analysed forms each searchable field carries.
 FIELD_ANALYZERS = {
-    "text": ("englando", "shingles", "raw"),
-    "full_text": ("englando", "shingles", "raw"),
-    "in_reply_to_screen_name": ("englando", "ngram", "shingles", "raw"),
-    "user.name": ("englando", "ngram", "shingles", "keyword"),
-    "user.screen_name": ("englando", "ngram", "keyword"),
-    "user.location": ("englando", "ngram", "keyword"),
-    "user.description": ("englando", "shingles", "keyword"),
-    "place.name": ("englando", "ngram", "shingles", "keyword"),
-    "place.full_name": ("englando", "ngram", "shingles", "keyword"),
-    "place.country": ("englando", "ngram", "shingles", "keyword"),
-    "entities.user_mentions.name": ("englando", "ngram", "shingles", "keyword"),
-    "entities.user_mentions.screen_name": ("englando", "ngram", "keyword"),
+    "text": ("english", "shingles", "raw"),
+    "full_text": ("english", "shingles", "raw"),
+    "in_reply_to_screen_name": ("english", "ngram", "shingles", "raw"),
+    "user.name": ("english", "ngram", "shingles", "keyword"),
+    "user.screen_name": ("english", "ngram", "keyword"),
+    "user.location": ("english", "ngram", "keyword"),
+    "user.description": ("english", "shingles", "keyword"),
+    "place.name": ("english", "ngram", "shingles", "keyword"),
+    "place.full_name": ("english", "ngram", "shingles", "keyword"),
+    "place.country": ("english", "ngram", "shingles", "keyword"),
+    "entities.user_mentions.name": ("english", "ngram", "shingles", "keyword"),
+    "entities.user_mentions.screen_name": ("english", "ngram", "keyword"),
     "entities.hashtags.text": ("normalised",),
 }
 
