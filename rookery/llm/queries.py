@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rookery.llm import bpe, token_files
+from rookery.llm import bpe, secret_scan, simhash, token_files
 from rookery.workspace import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +16,7 @@ ORACLES: dict[str, str] = {}
 # fixed values: the vocabulary file and end id of the contract
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
+SHINGLE_WORDS, RADIUS_BITS = 4, 4
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -28,12 +29,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text through the trigram index."""
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_secret_scan"] = secret_scan.oracle()
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text by segment-tree merging."""
     return bpe.digests(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and the components of those within four bits."""
+    return simhash.labelled(table(spark, sf_dir, "documents"), shingle=SHINGLE_WORDS, radius=RADIUS_BITS)
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every text's ids as flat files and read them back."""
