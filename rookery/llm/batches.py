@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 SLICE_BYTES = 2 << 20
-ENCODED_BYTES = 16 << 20
+ENCODED_BYTES = 6 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

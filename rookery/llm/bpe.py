@@ -10,18 +10,21 @@ cut at blanks. A word longer than a group's width only widens its own group.
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rookery.llm.batches import ENCODED_BYTES, packed, slices
 from rookery.llm.chunks import ChunkEncoder, byte_letters
 
 NONE = np.iinfo(np.int64).max
-CELLS = 1 << 20
+CELLS = 1 << 18
+DECODED_ROWS = 500
 
 
 class Merges:
@@ -112,9 +115,6 @@ class SegmentTreeEncoder(ChunkEncoder):
         self.merges = Merges([(vocab[a], vocab[b]) for a, b in pairs], [vocab[a + b] for a, b in pairs])
         self.inner = np.array([vocab[c] for c in byte_letters()], np.int64)
         self.final = np.array([vocab[c + end] for c in byte_letters()], np.int64)
-        self.tokens: list[str | None] = [None] * (max([*vocab.values(), *self.special.values()]) + 1)
-        for token, i in [*vocab.items(), *self.special.items()]:
-            self.tokens[i] = token
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         raw = [w.encode() for w in words]
@@ -128,6 +128,20 @@ class SegmentTreeEncoder(ChunkEncoder):
             merged = [m if w not in self.special else np.array([self.special[w]], "<u4").tobytes() for w, m in zip(words, merged)]
         return merged
 
+
+class TokenTable:
+    """Ids back to text."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        if spec.get("decoder"):
+            raise ValueError(f"{path}: files with a decoder of their own are not supported")
+        known = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec.get("added_tokens", [])}}
+        self.tokens: list[str | None] = [None] * (max(known.values()) + 1)
+        for token, i in known.items():
+            self.tokens[i] = token
+
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by blanks, as the library does for a file without a decoder; unknown ids are left out."""
         try:
@@ -137,6 +151,12 @@ class SegmentTreeEncoder(ChunkEncoder):
             return " ".join(t for t in known if t is not None)
 
 
+@lru_cache(maxsize=2)
+def token_table(path: str) -> TokenTable:
+    """One table a worker."""
+    return TokenTable(path)
+
+
 @lru_cache(maxsize=2)
 def segment_tree_encoder(path: str) -> SegmentTreeEncoder:
     """One encoder a worker, shared by its tasks."""
@@ -158,25 +178,40 @@ def encode(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str =
 
 def decode(encoded: DataFrame, tokenizer: str, *, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """The frame with the decoded text beside the id bytes (null ids decode to the empty text)."""
-    from pyspark.sql.types import StringType, StructField, StructType
 
     def run(batches):
-        encoder = segment_tree_encoder(tokenizer)
+        table = token_table(tokenizer)
         for part in slices(batches, ids):
             raw = part.column(ids).fill_null(b"").to_pylist()
-            decoded = [encoder.decode(np.frombuffer(r, "<u4")) for r in raw]
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(decoded, pa.string())], [*part.schema.names, out]
-            )
+            decoded = pa.array([table.decode(np.frombuffer(r, "<u4")) for r in raw], pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns, decoded], [*part.schema.names, out])
 
     schema = StructType([*encoded.schema.fields, StructField(out, StringType())])
     return encoded.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, ids, decoded): ``encode`` and ``decode`` in one pass over the texts, so each task has one worker."""
+
+    def run(batches):
+        encoder, table = segment_tree_encoder(tokenizer), token_table(tokenizer)
+        for part in slices(batches, "text", ENCODED_BYTES):
+            ids, starts = encoder.encode_column(part.column("text"))
+            for at in range(0, part.num_rows, DECODED_ROWS):
+                cut = starts[at : at + DECODED_ROWS + 1]
+                decoded = pa.array([table.decode(ids[a:b]) for a, b in zip(cut, cut[1:])], pa.string())
+                raw = packed(ids[cut[0] : cut[-1]], cut - cut[0])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").slice(at, DECODED_ROWS), raw, decoded], ["doc_id", "ids", "decoded"]
+                )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "doc_id long, ids binary, decoded string")
+
+
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Contract form: encode every text, decode the ids again, and give counts and SHA-256 of both."""
-    both = decode(encode(docs, tokenizer), tokenizer)
-    return both.select(
+    return round_trip(docs, tokenizer).select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -15,9 +15,9 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from tokenizers import Tokenizer
 
-KEPT_CHUNKS = 800_000
+KEPT_CHUNKS = 500_000
 LONG_CHUNK = 48
-SEGMENT = 16 << 20
+SEGMENT = 6 << 20
 # Characters whose normal form, lower case and class follow from their code point alone; other chunks take the library's
 # normaliser and splitter.
 PLAIN_CHUNK = re.compile(r"[!-~À-ÿ]*\Z")

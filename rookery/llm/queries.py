@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rookery.llm import bpe, secret_scan, simhash, token_files
+from rookery.llm import bpe, mixing, secret_scan, simhash, token_files
 from rookery.workspace import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and the components of those within four bits."""
