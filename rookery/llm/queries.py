@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rookery.llm import bpe, mixing, secret_scan, simhash, token_files
+from rookery.llm import bpe, mixing, secret_scan, simhash, token_files, vector_topk
 from rookery.workspace import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +18,7 @@ ORACLES: dict[str, str] = {}
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 SHINGLE_WORDS, RADIUS_BITS = 4, 4
+QUERY_STEP, NEAREST, SCALE = 50, 5, 256
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -38,6 +40,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_secret_scan"] = secret_scan.oracle()
 
 
+@query
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0), NEAREST, scale=SCALE)
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text by segment-tree merging."""
