@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rookery.llm import bpe, mixing, secret_scan, simhash, token_files, vector_topk
+from rookery.llm import (
+    bpe, mixing, quality_rules, secret_scan, simhash, site_quality, token_files, vector_topk,
+)
 from rookery.workspace import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,12 +49,24 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0), NEAREST, scale=SCALE)
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every text."""
+    return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text by segment-tree merging."""
     return bpe.digests(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+@query
+def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior quality of every document under its source and language section."""
+    return site_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
