@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.llm import (
-    bpe, mixing, quality_rules, secret_scan, simhash, site_quality, token_files, vector_topk,
+    bpe, mixing, quality_rules, secret_scan, simhash, site_quality, surrogates, token_files, token_rollup,
+    vector_topk,
 )
 from rookery.workspace import fresh_folder
 
@@ -20,6 +21,7 @@ ORACLES: dict[str, str] = {}
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 SHINGLE_WORDS, RADIUS_BITS = 4, 4
+SURROGATE_KEY = b"an example key, not for real data"
 QUERY_STEP, NEAREST, SCALE = 50, 5, 256
 
 
@@ -55,12 +57,25 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal data replaced; the key of a real run comes from a secret store."""
+    return surrogates.replace(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text by segment-tree merging."""
     return bpe.digests(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+@query
+def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by source, language and tokenizer version after loading, revising, deleting copies and a replay."""
+    folder = fresh_folder(spark, "token-rollup")
+    return token_rollup.history(table(spark, sf_dir, "documents"), folder, WORD_BPE).totals()
+
+
 @query
 def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior quality of every document under its source and language section."""
