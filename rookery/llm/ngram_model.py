@@ -20,8 +20,12 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rookery.llm.batches import slices
+
 FAMILIES = ("char3", "char4", "word1", "word2")
 BITS = 16
+FIT_BYTES = 1 << 19
+PRIOR_WEIGHT = 0.1
 GAIN = 24.0  # shares are small; a fixed gain puts them on the scale of the penalty
 SMOOTH = 16  # n-grams added to each count, so that a very short text says little either way
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -32,7 +36,7 @@ SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
 @dataclass(frozen=True)
 class FitBounds:
-    per_class: int = 1200
+    per_class: int = 800
     longest: int = 60_000
     rounds: int = 100
     penalty: float = 1e-4
@@ -136,23 +140,31 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bounds: FitB
     return found.append_column("n", n)
 
 
+def _sparse(sample: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) of the sample's features, made in slices."""
+    cells, at = [], 0
+    for part in slices(iter(sample.select(["text"]).to_batches()), "text", FIT_BYTES):
+        for family, buckets, starts in ngrams(part.column("text")):
+            counts = np.diff(starts)
+            owner = np.repeat(np.arange(len(counts)), counts)
+            keys, seen = np.unique(owner << BITS | buckets, return_counts=True)
+            rows = keys >> BITS
+            cells.append((
+                (rows + at).astype(np.int32),
+                ((keys & (1 << BITS) - 1) + (family << BITS)).astype(np.int32),
+                (GAIN * seen / (counts[rows] + SMOOTH)).astype(np.float32),
+            ))
+        at += part.num_rows
+    return tuple(np.concatenate(column) for column in zip(*cells))
+
+
 def fit(sample: pa.Table, bounds: FitBounds = FitBounds()) -> NgramModel:
     """Fit and calibrate; with fewer than two classes the model is constant at the one class (good if there is none)."""
     good = np.array(sample.column("good").to_pylist(), np.float64)
     if len(set(good)) < 2:
         only = good[0] if len(good) else 1.0
         return NgramModel(np.zeros((len(FAMILIES), 1 << BITS), np.float32), 0.0, 1.0, 8.0 if only else -8.0)
-    texts = sample.column("text").combine_chunks()
-    texts = texts if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks)
-    rows, columns, values = [], [], []
-    for family, buckets, starts in ngrams(texts):
-        counts = np.diff(starts)
-        owner = np.repeat(np.arange(len(texts)), counts)
-        cells, seen = np.unique(owner << BITS | buckets, return_counts=True)
-        rows.append(cells >> BITS)
-        columns.append((cells & (1 << BITS) - 1) + (family << BITS))
-        values.append(GAIN * seen / (counts[rows[-1]] + SMOOTH))
-    row, column, value = np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
+    row, column, value = _sparse(sample)
     # every fifth row by order of its hash is held out for calibration
     held = np.arange(len(good)) % 5 == 4
     if len(set(good[held])) < 2 or len(set(good[~held])) < 2:
@@ -160,6 +172,7 @@ def fit(sample: pa.Table, bounds: FitBounds = FitBounds()) -> NgramModel:
     used = ~held[row]
     order = np.argsort(row[used], kind="stable")
     r, c, v = row[used][order], column[used][order], value[used][order]
+    del row, column, value, used, order
     balance = np.where(good == 1, 0.5 / max(1, (good[~held] == 1).sum()), 0.5 / max(1, (good[~held] == 0).sum()))
     balance[held] = 0
     size = len(FAMILIES) << BITS
@@ -177,7 +190,12 @@ def fit(sample: pa.Table, bounds: FitBounds = FitBounds()) -> NgramModel:
     keep = held if held.any() else ~held
     share = np.array(sample.column("n").to_pylist(), np.float64)
     weight = np.where(good == 1, share / max(1, (good[keep] == 1).sum()), share / max(1, (good[keep] == 0).sum()))
-    slope, offset = calibrate(model.raw(texts)[keep], good[keep], weight[keep] / weight[keep].sum())
+    logits = np.concatenate([model.raw(part.column("text")) for part in slices(iter(sample.to_batches()), "text", FIT_BYTES)])
+    # a little weight at the bias, in the classes' true shares: a text that says nothing is as good as the corpus
+    share = np.array([weight[keep][good[keep] == g].sum() for g in (0, 1)]) / weight[keep].sum()
+    logits = np.concatenate([logits[keep], [model.bias, model.bias]])
+    weight = np.concatenate([weight[keep] / weight[keep].sum(), PRIOR_WEIGHT * share])
+    slope, offset = calibrate(logits, np.concatenate([good[keep], [0.0, 1.0]]), weight)
     return NgramModel(model.weights, model.bias, slope, offset)
 
 
