@@ -24,16 +24,21 @@ def hashtag_id(tag: Column) -> Column:
     return (tail % F.lit("9223372036854775808").cast("decimal(20,0)")).cast("bigint")
 
 
+EPOCH_MILLIS = (-62_135_596_800_000, 253_402_300_799_999)  # first and last millisecond of the years 1 to 9999
+
+
 def parse_timestamp(value: Column) -> Column:
     """Status form, ISO with milliseconds and zone, or epoch milliseconds.
 
-    The weekday is cut off: it carries no information and Spark refuses it when parsing.
+    The weekday is cut off: it carries no information and Spark refuses it when parsing. Numbers outside the years 1 to
+    9999 are no times and give NULL.
     """
+    millis = value.try_cast("bigint")
     return F.coalesce(
         F.try_to_timestamp(F.regexp_replace(value, r"^[A-Za-z]{3} ", ""), F.lit("MMM dd HH:mm:ss Z yyyy")),
         F.try_to_timestamp(value, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXX")),
         F.try_to_timestamp(value, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXXX")),
-        F.timestamp_millis(value.try_cast("bigint")),
+        F.when(millis.between(*EPOCH_MILLIS), F.timestamp_millis(millis)),
     )
 
 

@@ -143,14 +143,16 @@ def apply_comments(entries: DataFrame, new_comments: DataFrame, n: int = COMMENT
 
 
 def apply_posts(entries: DataFrame, new_cards: DataFrame, follows: DataFrame, n: int = FEED_SIZE) -> DataFrame:
-    """Feeds after a batch of new posts: old entries and delivered new ones, ranked again."""
+    """Feeds after a batch of new posts: old entries and delivered new ones, ranked again; a replayed batch changes nothing."""
     fresh = deliver(newest_per_author(new_cards, n), follows)
-    return _rank_feed(entries.drop("rank").unionByName(fresh), n)
+    both = entries.drop("rank").unionByName(fresh).dropDuplicates(["user_id", "post_id"])
+    return _rank_feed(both, n)
 
 
 def apply_own_posts(own: DataFrame, new_cards: DataFrame, n: int = OWN_SIZE) -> DataFrame:
     fresh = newest_per_author(new_cards, n).withColumnRenamed("author_id", "user_id")
-    return top_per_key(own.drop("rank").unionByName(fresh), ["user_id"], _newest("created_at", "post_id"), n)
+    both = own.drop("rank").unionByName(fresh).dropDuplicates(["user_id", "post_id"])
+    return top_per_key(both, ["user_id"], _newest("created_at", "post_id"), n)
 
 
 def add_counts(counters: DataFrame, events: DataFrame, key: str, name: str, sign: int = 1) -> DataFrame:
@@ -187,8 +189,13 @@ def apply_follow_changes(
     return _rank_feed(untouched.unionByName(rebuilt).unionByName(seeds), n)
 
 
-def apply_follow_counts(counters: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
-    for events, sign in ((added, 1), (removed, -1)):
+def apply_follow_counts(counters: DataFrame, follows: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """Counters after follows and unfollows; repeats, edges that are there already and edges that never were count nothing."""
+    pair = ["follower_id", "followee_id"]
+    known = follows.select(*pair)
+    new = added.select(*pair).distinct().join(known, pair, "left_anti")
+    gone = removed.select(*pair).distinct().join(known, pair, "left_semi")
+    for events, sign in ((new, 1), (gone, -1)):
         counters = add_counts(counters, events, "followee_id", "followers_count", sign)
         counters = add_counts(counters, events, "follower_id", "following_count", sign)
     return counters

@@ -1,7 +1,7 @@
 """The views as nested status documents, written to files for the ingest jobs.
 
 Variants by id: % 97 a broken line, % 89 a NUL inside the text, % 83 an unknown field, % 13 = 3 an ``extended_tweet``,
-% 79 only ``id_str``, % 73 no text, % 71 an open ring. Times take three formats by id % 3.
+% 79 only ``id_str``, % 73 no text, % 71 an open ring, % 50 nested to depth 6 and more. Times take three formats by id % 3.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rookery.sources.documents import list_files, read_lines
 from rookery.views import Tables
-from rookery.workspace import fresh_folder
+from rookery.workspace import fresh_folder, stage
 
 PATTERNS = ("*.txt", "*.txt.gz")
 SHARDS = 8
@@ -93,13 +93,18 @@ def documents_with_embedded(t: Tables) -> DataFrame:
     )
     originals = with_quote.select(F.col("id").alias("retweeted"), F.col("doc").alias("retweeted_status"))
     nested = with_quote.join(originals, "retweeted", "left")
-    value = F.to_json(F.col("doc").withField("retweeted_status", F.col("retweeted_status")))
+    shared = F.col("doc").withField("retweeted_status", F.col("retweeted_status"))
+    # exploding one struct keeps Spark from copying the JSON writers into every later use of their columns
+    forms = F.struct(F.to_json(shared).alias("whole"), F.to_json(shared.dropFields("quoted_status")).alias("alone"))
+    written = nested.select("id", F.inline(F.array(forms)))
+    # one in fifty quotes itself five times over before its true quote, so that some statuses are found at depth 6 only
+    head = F.concat(F.expr("left(alone, length(alone) - 1)"), F.lit(',"quoted_status":'))
+    deep = F.concat(F.repeat(head, F.lit(5)), "whole", F.repeat(F.lit("}"), F.lit(5)))
+    value = F.when(F.col("id") % 50 == 0, deep).otherwise(F.col("whole"))
     # to_json escapes the NUL; the reader must cope with the raw byte as well
     value = F.when(F.col("id") % 89 == 0, F.replace(value, F.lit("\\u0000"), F.lit("\x00"))).otherwise(value)
-    broken = F.expr("left(value, length(value) - 5)")
-    return nested.select("id", value.alias("value")).withColumn(
-        "value", F.when(F.col("id") % 97 == 0, broken).otherwise(F.col("value"))
-    )
+    broken = F.expr("left(whole, length(whole) - 5)")
+    return written.select("id", F.when(F.col("id") % 97 == 0, broken).otherwise(value).alias("value"))
 
 
 def corpus_folder(t: Tables) -> str:
@@ -108,7 +113,7 @@ def corpus_folder(t: Tables) -> str:
     if key not in _folders:
         folder = fresh_folder(t.spark, "corpus")
         lines = documents_with_embedded(t).withColumn("shard", (F.col("id") % SHARDS).cast("int")).drop("id")
-        lines = lines.repartition(SHARDS, "shard")
+        lines = stage(lines.repartition(SHARDS, "shard"), "corpus-lines")
         lines.filter("shard < 4").write.partitionBy("shard").text(f"{folder}/plain")
         lines.filter("shard >= 4").write.partitionBy("shard").option("compression", "gzip").text(f"{folder}/zipped")
         _folders[key] = folder

@@ -119,7 +119,7 @@ def _(t: Tables):
     entries = feed.build_feeds(cards(t), old)
     after = feed.apply_follow_changes(entries, cards(t), old, added, removed)
     counted = feed.apply_follow_counts(
-        feed.user_counters(t.users.select("id"), t.tweets, old), added, removed
+        feed.user_counters(t.users.select("id"), t.tweets, old), old, added.unionByName(added), removed
     )
     out = after.select(F.lit("feed").alias("kind"), "user_id", "rank", "post_id")
     for kind in ("followers", "following"):

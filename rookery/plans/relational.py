@@ -248,10 +248,9 @@ def day_rows(df, *averages):
     return df.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
-@job("a_06", "with hits as (select * from tweets where lang = 'de')" + HISTOGRAM_SQL)
+@job("a_06", "with hits as (select * from tweets)" + HISTOGRAM_SQL)
 def _(t: Tables):
-    hits = t.tweets.filter(F.col("lang") == "de")
-    return day_rows(rel.daily_histogram(hits, "created_at", "retweet_count", "avg_retweets"), "avg_retweets")
+    return day_rows(rel.daily_histogram(t.tweets, "created_at", "retweet_count", "avg_retweets"), "avg_retweets")
 
 
 @job("a_07", "with hits as (select t.* from tweets t join users u on u.id = t.user_id where "

@@ -23,7 +23,7 @@ def relations(t: Tables) -> dict:
         "users": t.users,
         "places": t.places,
         "tweets": t.tweets,
-        "hashtags": tags.filter(F.col("tag") != "Brand#7").select(hashtag_id(F.col("tag")).alias("id"), "tag"),
+        "hashtags": tags.select(hashtag_id(F.col("tag")).alias("id"), "tag"),
         "tweet_hashtag": t.tweet_hashtag.select("tweet_id", hashtag_id(F.col("tag")).alias("hashtag_id")),
         "tweet_urls": t.tweet_urls,
         "tweet_user_mentions": t.tweet_user_mentions,
@@ -34,7 +34,7 @@ def relations(t: Tables) -> dict:
 NAMES = ["users", "places", "tweets", "tweet_hashtag", "tweet_urls", "tweet_user_mentions", "tweet_media"]
 COUNTS_SQL = " union all ".join(
     [f"select '{n}' as relation, count(*) as rows from {n}" for n in NAMES]
-    + ["select 'hashtags', count(distinct tag) from tweet_hashtag where tag <> 'Brand#7'"]
+    + ["select 'hashtags', count(distinct tag) from tweet_hashtag"]
 )
 
 
@@ -45,10 +45,10 @@ def _(t: Tables):
 
 
 @job("k_02", """
-select id, screen_name, id % 3 <> 0 as inserted from users where id % 3 = 0 or id % 2 = 0""")
+select id, screen_name, id % 3 <> 0 as inserted from users""")
 def _(t: Tables):
     target = t.users.filter(F.col("id") % 3 == 0).select("id", "screen_name")
-    first = t.users.filter(F.col("id") % 2 == 0).select("id", "screen_name", F.lit(0).alias("load"))
+    first = t.users.select("id", "screen_name", F.lit(0).alias("load"))
     again = first.select("id", F.lit("later name").alias("screen_name"), F.lit(1).alias("load"))
     fresh = merge.insert_if_absent(target, first.unionByName(again), ["id"], ["load"])
     return target.withColumn("inserted", F.lit(False)).unionByName(
@@ -104,14 +104,14 @@ r as (select id, max(seq) filter (where op <> 'update') as rs, arg_max(op, seq)
 l as (select ch.id, arg_max(ch.retweet_count, ch.seq) filter (where ch.retweet_count is not null) as rt,
   arg_max(ch.favorite_count, ch.seq) filter (where ch.favorite_count is not null) as fv
   from ch join r on r.id = ch.id where r.rs is null or ch.seq >= r.rs group by 1),
-b as (select id, retweet_count, favorite_count from tweets where id % 2 = 0)
+b as (select id, retweet_count, favorite_count from tweets)
 select coalesce(b.id, r.id) as id, coalesce(rt, case when ro is null then retweet_count end) as retweet_count,
   coalesce(fv, case when ro is null then favorite_count end) as favorite_count, coalesce(v, 0) as version
 from b full outer join r on r.id = b.id left join l on l.id = r.id
 where (ro is null and b.id is not null) or ro = 'create'""")
 def _(t: Tables):
     changes = t.spark.sql(CHANGES_SQL.replace("from events", "from {events}"), events=t.events)
-    base = t.tweets.filter(F.col("id") % 2 == 0).select("id", "retweet_count", "favorite_count")
+    base = t.tweets.select("id", "retweet_count", "favorite_count")
     return merge.apply_changes(base, changes, "id", ["retweet_count", "favorite_count"])
 
 
@@ -155,7 +155,8 @@ def _missing_sql(name, source, column, target, key="id"):
     _missing_sql("tag_hashtag", "tweet_hashtag", "tag", "ht", "tag"),
 ]))
 def _(t: Tables):
-    return integrity.missing_references(relations(t))
+    stored = relations(t)
+    return integrity.missing_references({**stored, "hashtags": stored["hashtags"].filter(F.col("tag") != "Brand#7")})
 
 
 Q_03_COLUMNS = ["user_id", "place_id", "in_reply_to_status_id", "quoted_status_id", "retweeted_status_id"]

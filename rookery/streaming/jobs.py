@@ -57,37 +57,31 @@ def grow_relations(
     return {n: read_batches(spark, f"{target}/{n}", s).select(*s.names) for n, s in RELATIONS.items()}
 
 
-def daily_windows(stream: DataFrame, time: str, value: str, delay: str = "1 day") -> DataFrame:
-    """Count and average per day; a day is final once the watermark has passed it. Later rows are dropped by Spark and
-    show up in the query progress as ``numRowsDroppedByWatermark``."""
+def daily_windows(stream: DataFrame, time: str, value: str) -> DataFrame:
+    """Count and average per day. There is no watermark: the state is one row a day, and a late row still counts."""
     return (
-        stream.withWatermark(time, delay).groupBy(F.window(time, "1 day"))
-        .agg(F.count("*").alias("doc_count"), F.avg(value).alias("average"))
-        .select(F.to_date("window.start").alias("day"), "doc_count", "average")
+        stream.groupBy(F.to_date(time).alias("day")).agg(F.count("*").alias("doc_count"), F.avg(value).alias("average"))
     )
 
 
-def drain_to_table(stream: DataFrame, folder: str, checkpoint: str) -> DataFrame:
-    """Append finished rows to a table; one call handles everything available and may be repeated."""
-    spark = stream.sparkSession
-    _drain(stream.writeStream.format("parquet").option("path", folder), checkpoint)
-    return spark.read.schema(stream.schema).parquet(folder)
-
-
-def maintain_counters(events: DataFrame, identity: str, time: str, keys: list[str], folder: str, checkpoint: str,
-                      delay: str = "1 day") -> DataFrame:
-    """Counters per key, each event id counted once; a batch holds the new totals of the keys it touched."""
-    spark = events.sparkSession
-    counted = (
-        events.withWatermark(time, delay).dropDuplicatesWithinWatermark([identity])
-        .groupBy(*keys).agg(F.count("*").alias("total"))
-    )
+def maintain_rows(changing: DataFrame, keys: list[str], folder: str, checkpoint: str) -> DataFrame:
+    """A table of an aggregation's newest rows: each batch writes the rows it changed, the last one of a key is valid."""
     _drain(
-        counted.writeStream.foreachBatch(lambda batch, batch_id: _write_batch(batch, folder, batch_id)), checkpoint, "update"
+        changing.writeStream.foreachBatch(lambda batch, batch_id: _write_batch(batch, folder, batch_id)), checkpoint, "update"
     )
-    rows = spark.read.option("basePath", folder).parquet(f"{folder}/batch=*")
-    # the newest total of a key is the one of its last batch; totals never shrink
-    return rows.groupBy(*keys).agg(F.max("total").alias("total"))
+    rows = changing.sparkSession.read.option("basePath", folder).parquet(f"{folder}/batch=*")
+    others = [c for c in changing.columns if c not in keys]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("last"))
+    return latest.select(*keys, *[F.col(f"last.{c}").alias(c) for c in others])
+
+
+def count_once(events: DataFrame, identity: str, keys: list[str]) -> DataFrame:
+    """Events per key, each id counted once however late or often it comes.
+
+    The ids seen stay in the state, since only a bound on lateness could release them; the state is spread over the
+    shuffle partitions by id, so give a large stream the RocksDB state store.
+    """
+    return events.dropDuplicates([identity]).groupBy(*keys).agg(F.count("*").alias("total"))
 
 
 def maintain_newest(events: DataFrame, key: str, identity: str, time: str, n: int, folder: str, checkpoint: str,

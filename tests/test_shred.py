@@ -36,9 +36,11 @@ def test_files_parse_and_quarantine(spark, tmp_path):
 
 
 def test_embedded_first_wins_and_violations(spark):
-    deep = status(5, retweeted_status=status(6, quoted_status=status(7, retweeted_status=status(8, quoted_status=status(9)))))
+    deep = None
+    for n in range(14, 4, -1):  # ten levels
+        deep = status(n, **({"quoted_status" if n % 2 else "retweeted_status": deep} if deep else {}))
     rows = [
-        ("f1", status(1, full_text="", entities={"hashtags": [{"text": " Covid "}, {"tag": "x"}, {"text": ""}],
+        ("f1", status(1, full_text="", entities={"hashtags": [{"text": " Covid "}, {"tag": "x"}, {"text": ""}, {"text": "  "}],
                                                  "urls": [{"expanded_url": "e"}, {"url": "u", "expanded_url": "e"}],
                                                  "user_mentions": [{"id_str": "77", "screen_name": "m"}, {"name": "none"}]})),
         ("f2", {**status(1), "text": "later"}),
@@ -46,12 +48,12 @@ def test_embedded_first_wins_and_violations(spark):
         ("f1", deep),
     ]
     lines = spark.createDataFrame([(f, json.dumps(d)) for f, d in rows], "file string, value string")
-    assert shred.deeper_statuses(lines).first()[0] == 1
+    assert shred.unroll(lines).filter("depth = 9").select("status_id").first()[0] == 14
     built, refused = shred.build_relations(shred.unroll(lines))
     tweets = {r.id: r.full_text for r in built["tweets"].collect()}
-    assert tweets == {1: "t1", 5: "t5", 6: "t6", 7: "t7", 8: "t8"}
+    assert tweets == {1: "t1", **{n: f"t{n}" for n in range(5, 15)}}
     assert {r.tag for r in built["hashtags"].collect()} == {"Covid", "x"}
-    assert {(r.id, r.screen_name) for r in built["users"].collect()} == {(n * 10, f"u{n}") for n in (1, 5, 6, 7, 8)} | {(77, "m")}
+    assert {(r.id, r.screen_name) for r in built["users"].collect()} == {(n * 10, f"u{n}") for n in (1, *range(5, 15))} | {(77, "m")}
     assert [(r.url, r.unwound_url) for r in built["tweet_urls"].collect()] == [("u", "e")]
     assert [(r.relation, r.reason) for r in refused.collect()] == [("tweet_urls", "url is NULL")]
     again, _ = shred.build_relations(shred.unroll(lines), built)
@@ -59,10 +61,10 @@ def test_embedded_first_wins_and_violations(spark):
 
 
 def test_timestamps(spark):
-    values = ["Mon Mar 09 01:02:03 +0100 2020", "2020-03-09T00:02:03.000Z", "1583712123000", "junk"]
+    values = ["Mon Mar 09 01:02:03 +0100 2020", "2020-03-09T00:02:03.000Z", "1583712123000", "junk", "9999999999999999999", "999999999999999999"]
     frame = spark.createDataFrame([(v,) for v in values], "v string")
     got = [r[0] for r in frame.select(F.date_format(parse_timestamp(F.col("v")), "yyyy-MM-dd HH:mm:ss")).collect()]
-    assert got == ["2020-03-09 00:02:03"] * 3 + [None]
+    assert got == ["2020-03-09 00:02:03"] * 3 + [None] * 3
 
 
 def test_staged_paths_are_fresh(spark):
