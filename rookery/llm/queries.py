@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.llm import (
-    bpe, mixing, quality_rules, secret_scan, simhash, site_quality, surrogates, token_files, token_rollup,
-    vector_topk,
+    bit_codes, bpe, mixing, quality_rules, secret_scan, simhash, site_quality, surrogates, token_files, token_rollup,
+    vector_codes, vector_topk, whitening,
 )
 from rookery.workspace import fresh_folder
 
@@ -23,6 +23,7 @@ END_ID = 2
 SHINGLE_WORDS, RADIUS_BITS = 4, 4
 SURROGATE_KEY = b"an example key, not for real data"
 QUERY_STEP, NEAREST, SCALE = 50, 5, 256
+ANN_STEP, ANN_NEAREST = 20, 20
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -100,3 +101,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), folder, WORD_BPE, END_ID)
     return token_files.checksums(token_files.read_token_files(spark, folder))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector along the four leading components, by contour integration."""
+    return whitening.report(table(spark, sf_dir, "embeddings"), k=4, scale=SCALE)
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as eight code bytes, with its error and that of its label."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+
+
+@query
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest found of every twentieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return bit_codes.search(vectors, vectors.where(F.col("vec_id") % ANN_STEP == 0), ANN_NEAREST)
