@@ -31,7 +31,8 @@ from rookery.workspace import stage
 
 NODES = 8
 ROUNDS = 40
-PER_INTERVAL = 8
+STALLED = 3
+FADED = 1e-8
 HALVINGS = 60
 SEED = 11
 EXACT = 2**53
@@ -79,37 +80,41 @@ def count_above(bands: tuple[list[float], list[float]], shift: float) -> int:
     return above
 
 
-def _edge(bands, size: int, wanted: int, low: float, high: float) -> tuple[float, int]:
-    """A number with ``wanted`` eigenvalues above it, in the middle of the gap there; more of them if they coincide."""
-
-    def last(enough: int) -> float:
-        below, above = low, high  # count_above(below) >= enough > count_above(above)
-        for _ in range(HALVINGS):
-            middle = (below + above) / 2
-            if count_above(bands, middle) >= enough:
-                below = middle
-            else:
-                above = middle
-        return below
-
-    upper, lower = last(wanted), last(wanted + 1) if wanted < size else low
-    apart = COINCIDE * size * max(abs(low), abs(high))
-    if upper - lower > apart:
-        return (upper + lower) / 2, wanted
-    step = apart  # eigenvalues this near one another stay in one interval
-    while count_above(bands, upper - step) != (found := count_above(bands, upper - 2 * step)):
-        step *= 2
-    return upper - 2 * step, found
+def _place(bands, rank: int, low: float, high: float) -> float:
+    """The eigenvalue of a rank (from 1, falling), by bisection; -inf beyond the last."""
+    if rank > len(bands[0]):
+        return -np.inf
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        if count_above(bands, middle) >= rank:
+            low = middle
+        else:
+            high = middle
+    return low
 
 
 def intervals(v: np.ndarray, k: int) -> list[tuple[float, float, int]]:
-    """(low, high, eigenvalues inside) from the top down until the k largest are covered."""
+    """(low, high, eigenvalues inside) of disjoint intervals around the k largest, with none between them.
+
+    An interval holds one eigenvalue, or several that are too near to be told apart, and ends half-way to the next one.
+    Its upper end is as far, so that all other eigenvalues are at least two radii away from its centre.
+    """
+    bands, size = tridiagonal(v), len(v)
     bound = float(np.abs(v).sum(axis=1).max()) * (1 + 1e-6)
-    bands, out, high, done = tridiagonal(v), [], bound, 0
+    apart = COINCIDE * size * bound
+    out, ceiling, done = [], bound, 0
     while done < k:
-        low, above = _edge(bands, len(v), min(k, done + PER_INTERVAL), -bound, high)
+        first = last = _place(bands, done + 1, -bound, ceiling)
+        after = _place(bands, done + 2, -bound, ceiling)
+        while last - after <= apart:
+            last, after = after, _place(bands, count_above(bands, after - apart) + 1, -bound, ceiling)
+        margin = min((last - after) / 2, (ceiling - first) / 2, bound)
+        low, high = last - margin, first + margin
+        above = count_above(bands, low)
+        if count_above(bands, high) != done:
+            raise ArithmeticError("eigenvalues lie between two intervals")
         out.append((low, high, above - done))
-        high, done = low, above
+        ceiling, done = low, above
     return out
 
 
@@ -127,18 +132,21 @@ def inside(v: np.ndarray, low: float, high: float, count: int) -> tuple[np.ndarr
     """Eigenvalues in the interval, falling, and their unit eigenvectors as columns; an error if one is missed."""
     size, scale = len(v), float(np.abs(v).max())
     block = np.random.default_rng(SEED).standard_normal((size, min(size, 2 * count + 8)))
-    best = None
+    best, stalled = None, 0
     for _ in range(ROUNDS):
-        basis, _ = np.linalg.qr(project(v, block, low, high))
+        basis, kept, _ = np.linalg.svd(project(v, block, low, high), full_matrices=False)
+        basis = basis[:, kept > FADED * kept[0]]  # what the projector has taken away would come back as spurious Ritz values
         values, turn = np.linalg.eigh(basis.T @ v @ basis)
         block = basis @ turn
         held = (values > low) & (values <= high)
         if held.sum() != count:
             continue
         residual = float(np.linalg.norm(v @ block[:, held] - block[:, held] * values[held], axis=0).max())
-        if best is not None and residual >= best[0] / 2:
+        stalled = stalled + 1 if best is not None and residual >= best[0] / 2 else 0
+        if best is None or residual < best[0]:
+            best = residual, values[held][::-1], block[:, held][:, ::-1]
+        if residual <= np.finfo(float).eps * scale or stalled == STALLED:
             break
-        best = residual, values[held][::-1], block[:, held][:, ::-1]
     if best is None or best[0] > 1e-9 * scale * size:
         raise ArithmeticError(f"the interval holds {count} eigenvalues by inertia, but the projection did not settle on them")
     return best[1], best[2]
