@@ -70,10 +70,13 @@ def _unknown_sql(alias: str, path: str) -> str:
     )
 
 
+# one status in fifty quotes itself, its retweet included, which an embedded status may not hold
 STRICT_SQL = f"""
 strict as (select g.id, concat_ws(',', {_unknown_sql('g', '$')}, {_unknown_sql('r', '$.retweeted_status')},
-  {_unknown_sql('q', '$.quoted_status')}) as unknown_fields from tweets g left join tweets r on r.id = g.retweeted_status_id
-  left join tweets q on q.id = g.quoted_status_id where g.id % 97 <> 0)"""
+  {_unknown_sql('q', '$.quoted_status')},
+  case when g.id % 50 = 0 and r.id is not null then '$.quoted_status.retweeted_status' end) as unknown_fields
+  from tweets g left join tweets r on r.id = g.retweeted_status_id
+  left join tweets q on q.id = case when g.id % 50 = 0 then g.id else g.quoted_status_id end where g.id % 97 <> 0)"""
 
 
 @job("i_03", f"with {STRICT_SQL} select id, unknown_fields from strict where unknown_fields <> ''")
