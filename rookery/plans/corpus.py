@@ -120,9 +120,9 @@ def corpus_folder(t: Tables) -> str:
     return _folders[key]
 
 
-def corpus_lines(t: Tables, limit: int = 0, skip: int = 0) -> DataFrame:
+def corpus_lines(t: Tables, limit: int = 0, skip: int = 0, spread: int | None = None) -> DataFrame:
     paths = list_files(t.spark, corpus_folder(t), PATTERNS, limit, skip)
-    return read_lines(t.spark, paths)
+    return read_lines(t.spark, paths, spread)
 
 
 def shard_of(file):

@@ -14,7 +14,7 @@ from rookery.plans.upkeep import TAG_ID_SQL
 from rookery.sources import documents as docs
 from rookery.sources import geometry, relations as rels
 from rookery.views import Tables
-from rookery.workspace import fresh_folder, stage
+from rookery.workspace import fresh_folder
 
 _statuses: dict[tuple, DataFrame] = {}
 
@@ -31,12 +31,11 @@ def statuses(t: Tables) -> DataFrame:
     """The unrolled statuses, stored once per application and data folder."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in _statuses:
-        _statuses[key] = stage(shred.unroll(good(t)), "statuses")
+        lines = corpus.corpus_lines(t, spread=t.spark.sparkContext.defaultParallelism)
+        _statuses[key] = shred.unroll(docs.clean_lines(lines))
     return _statuses[key]
 
 
-
-
 def document_id():
     text = F.coalesce(F.get_json_object("value", "$.id"), F.get_json_object("value", "$.id_str"))
     return text.try_cast("bigint").alias("id")
@@ -330,5 +329,5 @@ union all select 'tweet_media', count(*) from tweet_media where tweet_id in (sel
 @job("n_12", BUILD_SQL + """
 union all select 'refused', count(*) from seen s join tweet_media m on m.tweet_id = s.id where media_id = 0""")
 def _(t: Tables):
-    built, refused = shred.build_relations(statuses(t), staged=True)
+    built, refused = shred.build_relations(statuses(t))
     return integrity.row_counts({**built, "refused": refused})

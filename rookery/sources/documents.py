@@ -29,12 +29,22 @@ def list_files(
     return found[skip:]
 
 
+UNSPLIT = (".gz", ".deflate", ".snappy", ".zst")
+
+
 def read_lines(spark: SparkSession, paths: Sequence[str], spread: int | None = None) -> DataFrame:
-    """(file, value) per line. Compressed files do not split: ``spread`` deals their lines out to more tasks."""
-    if not paths:
-        return spark.createDataFrame([], "file string, value string")
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), "value")
-    return lines.repartition(spread) if spread else lines
+    """(file, value) per line. Compressed files do not split, so their lines alone are dealt out to ``spread`` tasks."""
+    def lines(some: list[str]) -> DataFrame:
+        if not some:
+            return spark.createDataFrame([], "file string, value string")
+        return spark.read.text(some).select(F.col("_metadata.file_path").alias("file"), "value")
+
+    whole = [p for p in paths if p.endswith(UNSPLIT)]
+    if not spread or not whole:
+        return lines(list(paths))
+    dealt = lines(whole).repartition(spread)
+    plain = [p for p in paths if p not in set(whole)]
+    return lines(plain).unionByName(dealt) if plain else dealt
 
 
 def lines_per_file(lines: DataFrame) -> DataFrame:
@@ -48,13 +58,10 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 
 def with_parse_error(lines: DataFrame) -> DataFrame:
-    """Adds ``error``: NULL for a JSON object, else why the line is refused."""
-    probe = F.from_json(
-        "value", "id string, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    )
+    """Adds ``error``: NULL for a JSON object, else why the line is refused. A key given twice in an object is not valid."""
     reason = (
         F.when(~F.col("value").startswith("{"), "not an object")
-        .when(probe["_broken"].isNotNull(), "not valid JSON")
+        .when(F.try_parse_json("value").isNull(), "not valid JSON")
     )
     return lines.withColumn("error", reason)
 

@@ -1,19 +1,25 @@
 """Structured Streaming forms: growing relations, daily windows, counters and newest-N tables.
 
-Every ``foreachBatch`` sink writes into a folder named by the batch, so a replayed batch overwrites itself and nothing
-is counted twice. Tables grow by appended batches; only bounded results are rewritten.
+Every ``foreachBatch`` sink puts its rows into a ``KeyedTable``: a batch reads and writes the buckets of its own keys, and a replayed
+batch overwrites itself, so nothing is counted twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, StructType
 
 from rookery.operators import shred
 from rookery.operators.relational import top_per_key
-from rookery.sources.documents import clean_lines, good_lines, with_parse_error
-from rookery.sources.relations import RELATIONS
+from rookery.sources.documents import clean_lines, quarantined_lines, with_parse_error
+from rookery.sources.relations import KEYS, RELATIONS
+from rookery.streaming.tables import KeyedTable
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _drain(stream, checkpoint: str, mode: str = "append") -> None:
@@ -21,40 +27,64 @@ def _drain(stream, checkpoint: str, mode: str = "append") -> None:
     query.awaitTermination()
 
 
-def read_batches(spark: SparkSession, folder: str, schema, before: int | None = None) -> DataFrame:
-    """The table stored as one folder per batch; only batches before the given one when replaying."""
-    rows = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).option(
-        "basePath", folder
-    ).parquet(f"{folder}/batch=*")
-    return rows if before is None else rows.filter(F.col("batch") < before)
+@contextmanager
+def state_on_disk(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB: state that outgrows an executor's memory, such as all ids ever seen."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
+def described_first() -> Column:
+    """A described user before a stub, then the earliest batch."""
+    return F.struct(~F.col("stub"), -F.col("batch"))
+
 
+def earliest() -> Column:
+    return -F.col("batch")
 
-def _write_batch(df: DataFrame, folder: str, batch: int) -> None:
-    df.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+
+def relation_tables(spark: SparkSession, folder: str) -> dict[str, KeyedTable]:
+    """The eight relations as growing tables; users remember who is only a stub."""
+    def table(name: str) -> KeyedTable:
+        schema = StructType([*RELATIONS[name].fields])
+        if name == "users":
+            return KeyedTable(spark, f"{folder}/users", schema.add("stub", BooleanType()), KEYS[name], described_first)
+        return KeyedTable(spark, f"{folder}/{name}", schema, KEYS[name], earliest)
+
+    return {name: table(name) for name in RELATIONS}
 
 
 def grow_relations(
     spark: SparkSession, source: str, pattern: str, target: str, checkpoint: str, files_per_batch: int | None = None
 ) -> dict[str, DataFrame]:
-    """New line files arrive; the eight relations grow by insert-if-absent. Returns the relations after the drain."""
+    """New line files arrive; the eight relations grow by insert-if-absent, and a user known from mentions only is replaced as
+    soon as a document describes them. Returns the relations after the drain; refused lines and rows lie under ``refused``."""
     reader = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     lines = reader.text(source).select(F.col("_metadata.file_path").alias("file"), "value")
+    tables = relation_tables(spark, target)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        existing = {n: read_batches(session, f"{target}/{n}", s, batch_id).select(*s.names) for n, s in RELATIONS.items()}
-        statuses = shred.unroll(good_lines(with_parse_error(clean_lines(batch))))
-        fresh, refused = shred.build_relations(statuses, existing)
+        mine = {name: table.within(batch.sparkSession) for name, table in tables.items()}
+        arrived = clean_lines(batch)
+
+        def stored(name: str, keys: DataFrame) -> DataFrame:
+            columns = [*KEYS[name], *(["stub"] if name == "users" else [])]
+            return mine[name].holding(keys, before=batch_id, columns=columns)
+
+        fresh, refused = shred.build_relations(shred.unroll(arrived), stored)
         for name, rows in fresh.items():
-            _write_batch(rows, f"{target}/{name}", batch_id)
-        _write_batch(refused, f"{target}/refused", batch_id)
+            mine[name].put(rows, batch_id)
+        unread = quarantined_lines(with_parse_error(arrived)).select(F.lit("lines").alias("relation"), "reason", F.col("raw").alias("row"))
+        refused.unionByName(unread).write.mode("overwrite").parquet(f"{target}/refused/batch={batch_id}")
 
-    for name, schema in RELATIONS.items():  # an empty first batch, so that reading never fails
-        _write_batch(spark.createDataFrame([], schema), f"{target}/{name}", -1)
     _drain(lines.writeStream.foreachBatch(merge), checkpoint)
-    return {n: read_batches(spark, f"{target}/{n}", s).select(*s.names) for n, s in RELATIONS.items()}
+    return {name: table.rows() for name, table in tables.items()}
 
 
 def daily_windows(stream: DataFrame, time: str, value: str) -> DataFrame:
@@ -66,51 +96,44 @@ def daily_windows(stream: DataFrame, time: str, value: str) -> DataFrame:
 
 def maintain_rows(changing: DataFrame, keys: list[str], folder: str, checkpoint: str) -> DataFrame:
     """A table of an aggregation's newest rows: each batch writes the rows it changed, the last one of a key is valid."""
-    _drain(
-        changing.writeStream.foreachBatch(lambda batch, batch_id: _write_batch(batch, folder, batch_id)), checkpoint, "update"
-    )
-    rows = changing.sparkSession.read.option("basePath", folder).parquet(f"{folder}/batch=*")
-    others = [c for c in changing.columns if c not in keys]
-    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("last"))
-    return latest.select(*keys, *[F.col(f"last.{c}").alias(c) for c in others])
+    table = KeyedTable(changing.sparkSession, folder, changing.schema, keys)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        table.within(batch.sparkSession).put(batch, batch_id)
+
+    _drain(changing.writeStream.foreachBatch(merge), checkpoint, "update")
+    return table.rows()
 
 
 def count_once(events: DataFrame, identity: str, keys: list[str]) -> DataFrame:
     """Events per key, each id counted once however late or often it comes.
 
     The ids seen stay in the state, since only a bound on lateness could release them; the state is spread over the
-    shuffle partitions by id, so give a large stream the RocksDB state store.
+    shuffle partitions by id, and belongs on disk (``state_on_disk``).
     """
     return events.dropDuplicates([identity]).groupBy(*keys).agg(F.count("*").alias("total"))
 
 
 def maintain_newest(events: DataFrame, key: str, identity: str, time: str, n: int, folder: str, checkpoint: str,
                     ) -> DataFrame:
-    """Newest n events per key: each batch ranks the stored rows of its keys together with its own.
+    """(key, identity, time, rank): newest n events per key.
 
-    A batch writes the complete list of every key it touched; the latest list of a key is the valid one.
+    A batch ranks its own events together with the stored lists of its keys, which it alone reads, and writes the complete list,
+    of n entries at most, of every key it touched.
     """
-    spark = events.sparkSession
+    entry = StructType([events.schema[identity], events.schema[time]])
+    table = KeyedTable(events.sparkSession, folder, StructType([events.schema[key]]).add("items", ArrayType(entry)), [key])
     order = [F.desc(time), F.desc(identity)]
 
+    def listed(frame: DataFrame) -> DataFrame:
+        return frame.select(key, F.inline("items")).select(key, identity, time)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
+        mine = table.within(batch.sparkSession)
         new = top_per_key(batch.select(key, identity, time), [key], order, n).drop("rank")
-        known = _latest_lists(batch.sparkSession, folder, key, before=batch_id)
-        touched = known.join(new.select(key).distinct(), key, "left_semi")
-        both = new.unionByName(touched.select(key, identity, time))
-        _write_batch(top_per_key(both.dropDuplicates([key, identity]), [key], order, n), folder, batch_id)
+        both = new.unionByName(listed(mine.holding(new.select(key), before=batch_id)))
+        kept = top_per_key(both.dropDuplicates([key, identity]), [key], order, n)
+        mine.put(kept.groupBy(key).agg(F.collect_list(F.struct(identity, time)).alias("items")), batch_id)
 
-    _write_batch(
-        spark.createDataFrame([], events.select(key, identity, time).schema.add("rank", IntegerType())), folder, -1
-    )
     _drain(events.writeStream.foreachBatch(merge), checkpoint)
-    return _latest_lists(spark, folder, key)
-
-
-def _latest_lists(spark: SparkSession, folder: str, key: str, before: int | None = None) -> DataFrame:
-    rows = spark.read.option("basePath", folder).parquet(f"{folder}/batch=*")
-    if before is not None:
-        rows = rows.filter(F.col("batch") < before)
-    latest = rows.groupBy(key).agg(F.max("batch").alias("batch"))
-    return rows.join(latest, [key, "batch"]).drop("batch")
-
+    return top_per_key(listed(table.rows()), [key], order, n)

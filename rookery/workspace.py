@@ -45,6 +45,28 @@ def stage(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = ()) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder of any store that Spark reads; none where it does not exist."""
+    files, place = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()) if files.exists(place) else []
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the writer of a folder has finished."""
+    files, place = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
     """A frame from query parameters, as a local relation: its size is known, so Spark may broadcast it."""
     struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)

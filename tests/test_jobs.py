@@ -1,12 +1,14 @@
 """Hand cases and equivalences of the relational, upkeep, feed, graph, spatial and streaming jobs."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
 from rookery.functions import geo
 from rookery.operators import feed, graph, merge, relational as rel, spatial
 from rookery.streaming import jobs
+from rookery.streaming.tables import KeyedTable
 
 
 def rows(df):
@@ -131,3 +133,76 @@ def test_late_and_repeated_events_count_once(spark, tmp_path):
     for _ in range(2):  # a second call finds nothing new
         got = jobs.maintain_rows(jobs.count_once(stream, "event_id", ["user_id"]), ["user_id"], f"{tmp_path}/out", f"{tmp_path}/at")
         assert rows(got) == {(7, 2)}
+
+
+def keyed(spark, tmp_path, **more):
+    schema = spark.createDataFrame([], "k long, v string").schema
+    return KeyedTable(spark, f"{tmp_path}/table", schema, ["k"], **more)
+
+
+def test_keyed_table_newest_row_wins_and_replay_changes_nothing(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=4, fanout=3)
+    put = lambda rows, batch: table.put(spark.createDataFrame(rows, "k long, v string"), batch)
+    want = {}
+    assert table.rows().count() == 0 and table.holding(spark.range(3).toDF("k")).count() == 0
+    for batch in range(10 + 1):
+        new = [(k, f"{batch}") for k in range(batch, 20, 1 + batch % 3)]
+        put([(99, "crashed")], batch)  # a first attempt that is replayed
+        put(new, batch)
+        want |= dict(new)
+    assert rows(table.rows()) == set(want.items())
+    asked = spark.createDataFrame([(3,), (7,), (None,), (55,)], "k long")
+    assert rows(table.holding(asked)) == {(k, v) for k, v in want.items() if k in (3, 7)}
+    assert "10" not in {v for _, v in rows(table.rows(before=10))}
+    # merged in tiers: fewer than ``fanout`` segments in each, and no more folders than two manifests name
+    segments = table._segments()
+    tiers = [t for _, t in segments]
+    assert all(tiers.count(t) < 3 for t in tiers) and max(tiers) >= 1
+    assert len(list((tmp_path / "table" / "manifest").iterdir())) <= 2
+    assert len(list((tmp_path / "table" / "segments").glob("segment=*"))) <= len(segments) + 6
+
+
+def test_ten_batches_read_less_than_three_times_what_one_does(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=64)
+    table.put(spark.range(20000).select(F.col("id").alias("k"), F.lit("old").alias("v")), 0)
+    one = table.opened(spark.range(20000).toDF("k"), before=1).count()
+    read = 0
+    for batch in range(1, 11):
+        keys = spark.range(batch * 7, batch * 7 + 7).toDF("k")
+        opened = table.opened(keys, before=batch)
+        assert "PartitionFilters: [bucket" in opened._jdf.queryExecution().executedPlan().toString().replace("isnotnull(bucket", "bucket")
+        read += opened.count()
+        table.put(keys.withColumn("v", F.lit(f"{batch}")), batch)
+    assert one == 20000 and read < 3 * one
+    assert table.rows().filter("v <> 'old'").count() == 70
+
+
+def test_stubs_become_users_when_described_later(spark, tmp_path):
+    def lines(name, *documents):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text("\n".join(d if isinstance(d, str) else json.dumps(d) for d in documents))
+
+    user = lambda n: {"id": n, "screen_name": f"u{n}"}
+    mention = {"user_mentions": [{"id": 2, "screen_name": "m2"}, {"id": 3, "screen_name": "m3"}]}
+    grow = lambda: jobs.grow_relations(spark, f"{tmp_path}/in", "*.txt", f"{tmp_path}/out", f"{tmp_path}/at", 1)
+    lines("a.txt", {"id": 10, "text": "first", "user": user(1), "entities": mention}, "{broken")
+    grown = grow()
+    assert {(r.id, r.screen_name, r.stub) for r in grown["users"].collect()} == {(1, "u1", False), (2, "m2", True), (3, "m3", True)}
+    lines("b.txt", {"id": 11, "text": "t", "user": user(2), "entities": mention}, {"id": 10, "text": "later", "user": {"id": 1, "screen_name": "new"}})
+    grown = grow()
+    assert {(r.id, r.screen_name, r.stub) for r in grown["users"].collect()} == {(1, "u1", False), (2, "u2", False), (3, "m3", True)}
+    assert {(r.id, r.full_text) for r in grown["tweets"].collect()} == {(10, "first"), (11, "t")}
+    assert grown["tweet_user_mentions"].count() == 4
+    refused = spark.read.parquet(f"{tmp_path}/out/refused")
+    assert {(r.relation, r.reason) for r in refused.collect()} == {("lines", "not valid JSON")}
+
+
+def test_state_goes_to_disk_and_the_setting_comes_back(spark, tmp_path):
+    before = spark.conf.get(jobs.STATE_STORE)
+    spark.createDataFrame([(1, 7), (1, 7), (2, 7)], "event_id int, user_id int").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("event_id int, user_id int").parquet(f"{tmp_path}/in")
+    with jobs.state_on_disk(spark):
+        counted = jobs.count_once(stream, "event_id", ["user_id"])
+        assert rows(jobs.maintain_rows(counted, ["user_id"], f"{tmp_path}/out", f"{tmp_path}/at")) == {(7, 2)}
+    assert spark.conf.get(jobs.STATE_STORE) == before
+    assert list((tmp_path / "at" / "state").rglob("*.zip"))

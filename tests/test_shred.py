@@ -56,10 +56,33 @@ def test_embedded_first_wins_and_violations(spark):
     assert {(r.id, r.screen_name) for r in built["users"].collect()} == {(n * 10, f"u{n}") for n in (1, *range(5, 15))} | {(77, "m")}
     assert [(r.url, r.unwound_url) for r in built["tweet_urls"].collect()] == [("u", "e")]
     assert [(r.relation, r.reason) for r in refused.collect()] == [("tweet_urls", "url is NULL")]
+    assert {r.id for r in built["users"].filter("stub").collect()} == {77}
     again, _ = shred.build_relations(shred.unroll(lines), built)
     assert all(df.count() == 0 for df in again.values())
 
 
+def test_odd_types_cost_a_column_not_the_line(spark):
+    rows = [
+        {"id": 1, "text": {"x": 1}, "user": "nobody", "entities": {"hashtags": "none", "urls": [{"url": "u"}]}, "place": None},
+        {"id": "2", "text": "t", "user": {"id": 20, "name": ["a"]}, "quoted_status": "gone", "retweeted_status": {"id": 3.0, "text": None}},
+        {"id": {"no": 1}, "id_str": "4", "quoted_status": {"text": "no id", "quoted_status": {"id_str": "5"}}},
+    ]
+    values = [json.dumps(r) for r in rows] + ["", "null", "[]", '"text"', "{}", '{"id": 9', None]
+    found = shred.unroll(spark.createDataFrame([("f", v) for v in values], "file string, value string"))
+    got = {(r.status_id, r.depth): r.doc for r in found.collect()}
+    assert got.keys() == {(1, 0), (2, 0), (3, 1), (4, 0), (5, 2)}
+    assert got[1, 0].text == '{"x":1}' and got[1, 0].user is None and got[1, 0].entities.hashtags is None
+    assert got[1, 0].entities.urls[0].url == "u" and got[2, 0].user.name == '["a"]'
+
+
+def test_lines_of_unsplit_files_are_dealt_out(spark, tmp_path):
+    write(tmp_path, "a.jsonl.gz", [status(n) for n in range(40)])
+    write(tmp_path, "b.jsonl", [status(n) for n in range(40, 50)])
+    lines = docs.read_lines(spark, docs.list_files(spark, str(tmp_path)), spread=4)
+    assert lines.count() == 50 and lines.rdd.getNumPartitions() >= 5
+    assert docs.lines_per_file(lines).count() == 2
+
+
 def test_timestamps(spark):
     values = ["Mon Mar 09 01:02:03 +0100 2020", "2020-03-09T00:02:03.000Z", "1583712123000", "junk", "9999999999999999999", "999999999999999999"]
     frame = spark.createDataFrame([(v,) for v in values], "v string")
