@@ -6,6 +6,7 @@ batch overwrites itself, so nothing is counted twice.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,8 +79,8 @@ def grow_relations(
             return mine[name].holding(keys, before=batch_id, columns=columns)
 
         fresh, refused = shred.build_relations(shred.unroll(arrived), stored)
-        for name, rows in fresh.items():
-            mine[name].put(rows, batch_id)
+        with ThreadPoolExecutor(shred.JOBS_AT_ONCE) as puts:
+            list(puts.map(lambda name: mine[name].put(fresh[name], batch_id), fresh))
         unread = quarantined_lines(with_parse_error(arrived)).select(F.lit("lines").alias("relation"), "reason", F.col("raw").alias("row"))
         refused.unionByName(unread).write.mode("overwrite").parquet(f"{target}/refused/batch={batch_id}")
 
