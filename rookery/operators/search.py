@@ -1,20 +1,20 @@
-"""Ranked and boolean search over stored token tables, and substring search over trigram postings.
+"""Ranked and boolean search over the stored positional index, and substring search over trigram postings.
 
-Scores are BM25 with k1 = 1.2 and b = 0.75, exact lengths and corpus-wide statistics. Phrases are found by grouping on
-(document, start position) or by ordered windows inside one document, never by pairing positions with each other.
+Scores are BM25 with k1 = 1.2 and b = 0.75, exact lengths and corpus-wide statistics. A query scans the buckets of its terms once;
+phrases are found by intersecting the position arrays of one document inside its row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rookery.functions import text as tx
 from rookery.operators import tokens as tk
 from rookery.operators.tokens import TextIndex, postings
-from rookery.workspace import fresh_folder, literal_table
+from rookery.workspace import fresh_folder, literal_table, stage
 
 K1, B = 1.2, 0.75
 Terms = Sequence[tuple[str, int]]
@@ -29,26 +29,19 @@ def _saturate(frequency: Column, length: Column, average: Column) -> Column:
     return frequency * (K1 + 1) / (frequency + K1 * (1 - B + B * length / average))
 
 
-def _totals(index: TextIndex) -> DataFrame:
-    """One row: number of documents and average length."""
-    return index.lengths.agg(F.count("*").alias("_docs"), F.avg("length").alias("_avg"))
-
-
 def term_weights(index: TextIndex, terms: Sequence[str]) -> DataFrame:
-    """Inverse document frequency per query term (as many rows as the query has terms)."""
-    frequency = (
-        postings(index, list(terms)).groupBy("term", "doc_id").agg(F.lit(1)).groupBy("term").agg(F.count("*").alias("_n"))
+    """Inverse document frequency per query term, with the corpus totals (as many rows as the query has terms)."""
+    wanted = index.terms.filter(F.col("term").isin(*terms))
+    return wanted.crossJoin(index.totals).select(  # totals is one stored row
+        "term", _idf(F.col("documents"), F.col("doc_freq")).alias("idf"), "avg_length"
     )
-    return frequency.crossJoin(_totals(index)).select("term", _idf(F.col("_docs"), F.col("_n")).alias("idf"))
 
 
 def match(index: TextIndex, terms: Sequence[str]) -> DataFrame:
     """BM25 of documents holding any of the terms."""
-    counted = postings(index, list(terms)).groupBy("doc_id", "term").agg(F.count("*").alias("f"))
-    weighted = counted.join(F.broadcast(term_weights(index, terms)), "term")  # one row per query term
-    scored = weighted.join(index.lengths, "doc_id").crossJoin(_totals(index))
-    part = F.col("idf") * _saturate(F.col("f"), F.col("length"), F.col("_avg"))
-    return scored.groupBy("doc_id").agg(F.sum(part).alias("score"))
+    weighted = postings(index, list(terms)).join(F.broadcast(term_weights(index, terms)), "term")  # one row per query term
+    part = F.col("idf") * _saturate(F.col("frequency"), F.col("length"), F.col("avg_length"))
+    return weighted.groupBy("doc_id").agg(F.sum(part).alias("score"))
 
 
 def match_all(docs: DataFrame, id_column: str) -> DataFrame:
@@ -57,81 +50,89 @@ def match_all(docs: DataFrame, id_column: str) -> DataFrame:
 
 def term_query(index: TextIndex, term: str) -> DataFrame:
     """Documents holding an exact analysed term, with its frequency."""
-    return postings(index, [term]).groupBy("doc_id").agg(F.count("*").alias("frequency"))
+    return postings(index, [term]).select("doc_id", F.col("frequency").cast("bigint").alias("frequency"))
 
 
 def any_of(index: TextIndex, clauses: Sequence[Sequence[str]], minimum: int = 1) -> DataFrame:
     """Documents meeting at least ``minimum`` clauses; a clause is met by any of its terms."""
     names = [(term, i) for i, clause in enumerate(clauses) for term in clause]
-    lookup = literal_table(index.tokens.sparkSession, names, "term string, clause int")
-    hits = postings(index, sorted({t for t, _ in names})).select("doc_id", "term").distinct()
+    lookup = literal_table(index.postings.sparkSession, names, "term string, clause int")
+    hits = postings(index, sorted({t for t, _ in names})).select("doc_id", "term")
     met = hits.join(F.broadcast(lookup), "term").groupBy("doc_id").agg(F.countDistinct("clause").alias("clauses"))
     return met.filter(F.col("clauses") >= minimum)
 
 
 # ---- phrases --------------------------------------------------------------------------------------------------------
-def phrase_starts(token_rows: DataFrame, terms: Terms) -> DataFrame:
-    """(doc_id, start) of every exact occurrence, by counting the offsets that agree on a start."""
-    offsets: dict[str, list[int]] = {}
-    for term, offset in terms:
-        offsets.setdefault(term, []).append(offset)
-    lists = F.create_map(*[x for term, at in offsets.items() for x in (F.lit(term), F.array(*[F.lit(o) for o in at]))])
-    placed = (
-        token_rows.filter(F.col("term").isin(*offsets))
-        .select("doc_id", "position", F.explode(lists[F.col("term")]).alias("offset"))
-        .withColumn("start", F.col("position") - F.col("offset"))
+def _by_document(rows: DataFrame, terms: Terms) -> DataFrame:
+    """(doc_id, length, at): documents with all terms; ``at`` maps each term to its positions, sorted."""
+    wanted = sorted({term for term, _ in terms})
+    held = rows.filter(F.col("term").isin(*wanted)).groupBy("doc_id").agg(
+        F.max("length").alias("length"), F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("at")
     )
-    return placed.groupBy("doc_id", "start").agg(F.count("*").alias("_hits")).filter(F.col("_hits") == len(terms)).drop("_hits")
+    return held.filter(F.size("at") == len(wanted))
 
 
-def phrase_frequency(token_rows: DataFrame, terms: Terms) -> DataFrame:
-    return phrase_starts(token_rows, terms).groupBy("doc_id").agg(F.count("*").cast("double").alias("frequency"))
+def _shifted(term: str, offset: int) -> Column:
+    return F.transform(F.col("at")[F.lit(term)], lambda p: p - offset)
 
 
-def sloppy_frequency(token_rows: DataFrame, terms: Terms, slop: int) -> DataFrame:
-    """Sloppy phrase frequency: each match of total displacement d adds 1/(1+d), in either order.
+def _mark(ordinal: int):
+    return lambda p: F.struct(p.alias("at"), F.lit(ordinal).alias("ordinal"))
+
+
+def phrase_frequency(rows: DataFrame, terms: Terms) -> DataFrame:
+    """(doc_id, length, frequency): exact occurrences, by intersecting the positions shifted by their place in the phrase."""
+    starts = None
+    for term, offset in terms:
+        here = _shifted(term, offset)
+        starts = here if starts is None else F.array_intersect(starts, here)
+    found = _by_document(rows, terms).select("doc_id", "length", F.size(starts).cast("double").alias("frequency"))
+    return found.filter(F.col("frequency") > 0)
+
+
+def sloppy_frequency(rows: DataFrame, terms: Terms, slop: int) -> DataFrame:
+    """(doc_id, length, frequency): each match of total displacement d adds 1/(1+d), in either order.
 
     Positions are shifted by their offset in the phrase, so an exact match has all of them equal. A match starts at a
     term whose next query term is another one (ties in phrase order); its displacement is the distance to the farthest
-    of the nearest later other terms.
-    Terms must differ. The window holds query-term positions of one document, nothing else.
+    of the nearest later other terms. Terms must differ. One walk backwards over a document's merged positions remembers
+    the nearest later position of every term.
     """
-    order = {term: (offset, i) for i, (term, offset) in enumerate(terms)}
-    if len(order) != len(terms):
+    if len({term for term, _ in terms}) != len(terms):
         raise ValueError("sloppy phrases need distinct terms")
-    known = F.create_map(*[x for term, (offset, i) in order.items() for x in (F.lit(term), F.struct(F.lit(offset), F.lit(i)))])
-    rows = token_rows.filter(F.col("term").isin(*order)).select(
-        "doc_id",
-        F.col("term"),
-        (F.col("position") - known[F.col("term")]["col1"]).alias("at"),
-        known[F.col("term")]["col2"].alias("ordinal"),
-    )
-    # walking backwards keeps the frame growing from one side, which is linear
-    backwards = Window.partitionBy("doc_id").orderBy(F.desc("at"), F.desc("ordinal"))
-    later = backwards.rowsBetween(Window.unboundedPreceding, -1)
-    nearest = [F.min(F.when(F.col("ordinal") == i, F.col("at"))).over(later) for i in range(len(order))]
-    others = rows.select(
-        "doc_id", "at", "term", F.lag("term").over(backwards).alias("following"),
-        F.array(*[F.when(F.col("ordinal") != i, at) for i, at in enumerate(nearest)]).alias("reached"),
-    )
-    complete = F.size(F.array_compact("reached")) == len(order) - 1
-    matched = others.filter(complete & (F.col("following") != F.col("term"))).select(
-        "doc_id", (F.array_max("reached") - F.col("at")).alias("distance")
-    )
-    return (
-        matched.filter(F.col("distance") <= slop).groupBy("doc_id")
-        .agg(F.sum(1 / (1 + F.col("distance"))).alias("frequency"))
+    marks = F.array_sort(F.concat(*[
+        F.transform(_shifted(term, offset), _mark(i))
+        for i, (term, offset) in enumerate(terms)
+    ]))
+    nothing = F.struct(
+        F.array_repeat(F.lit(None).cast("int"), len(terms)).alias("nearest"), F.lit(-1).alias("following"),
+        F.lit(0.0).alias("total"),
     )
 
+    def step(seen: Column, mark: Column) -> Column:
+        others = F.filter(seen["nearest"], lambda p, j: (j != mark["ordinal"]) & p.isNotNull())
+        distance = F.array_max(others) - mark["at"]
+        matched = (F.size(others) == len(terms) - 1) & (seen["following"] != mark["ordinal"]) & (distance <= slop)
+        return F.struct(
+            F.transform(seen["nearest"], lambda p, j: F.when(j == mark["ordinal"], mark["at"]).otherwise(p)).alias("nearest"),
+            mark["ordinal"].alias("following"),
+            (seen["total"] + F.when(matched, 1 / (1 + distance)).otherwise(0.0)).alias("total"),
+        )
+
+    walked = F.aggregate(F.reverse(marks), nothing, step, lambda seen: seen["total"])
+    found = _by_document(rows, terms).select("doc_id", "length", walked.alias("frequency"))
+    return found.filter(F.col("frequency") > 0)
+
 
 def phrase(index: TextIndex, terms: Terms, slop: int = 0) -> DataFrame:
-    """Documents with the phrase, its frequency and its BM25 score (weights of its terms summed)."""
-    rows = postings(index, [t for t, _ in terms])
+    """Documents with the phrase, its frequency and its BM25 score (weights of its terms summed, a repeated term again)."""
+    rows = postings(index, sorted({t for t, _ in terms}))
     frequency = sloppy_frequency(rows, terms, slop) if slop else phrase_frequency(rows, terms)
-    repeats = [t for t, _ in terms]
-    listed = literal_table(index.tokens.sparkSession, [(t,) for t in repeats], "term string")
-    weight = listed.join(term_weights(index, sorted(set(repeats))), "term").agg(F.sum("idf").alias("_weight"))
-    scored = frequency.join(index.lengths, "doc_id").crossJoin(_totals(index)).crossJoin(weight)  # one-row sides
+    times = F.create_map(*[F.lit(x) for term in {t for t, _ in terms} for x in (term, sum(t == term for t, _ in terms))])
+    weight = term_weights(index, sorted({t for t, _ in terms})).agg(
+        F.sum(F.col("idf") * times[F.col("term")]).alias("_weight"), F.max("avg_length").alias("_avg")
+    )
+    scored = frequency.crossJoin(weight)  # one row
     return scored.select(
         "doc_id", "frequency",
         (F.col("_weight") * _saturate(F.col("frequency"), F.col("length"), F.col("_avg"))).alias("score"),
@@ -141,8 +142,10 @@ def phrase(index: TextIndex, terms: Terms, slop: int = 0) -> DataFrame:
 def values_with_phrase(df: DataFrame, column: str, phrases: Sequence[str]) -> DataFrame:
     """Distinct values of a column in which any phrase occurs; every value is analysed once."""
     values = df.select(F.col(column)).filter(F.col(column).isNotNull()).distinct()
-    rows = tk.english_tokens(values, column, column)
-    found = [phrase_frequency(rows, tx.analyse_query(text)).select(F.col("doc_id").alias(column)) for text in phrases]
+    queries = [tx.analyse_query(text) for text in phrases]
+    wanted = sorted({term for terms in queries for term, _ in terms})
+    rows = stage(tk.posting_rows(values, column, column).filter(F.col("term").isin(*wanted)), "phrase-values")
+    found = [phrase_frequency(rows, terms).select(F.col("doc_id").alias(column)) for terms in queries]
     out = found[0]
     for frame in found[1:]:
         out = out.unionByName(frame)
@@ -178,8 +181,8 @@ def gauss_decay(moment: Column, origin: Column, scale_days: float, offset_days:
 
 
 def function_score(
-    scored: DataFrame, attributes: DataFrame, origin, scale_days: float = 23.0, offset_days: float = 7.0,
-    decay: float = 0.01, verified_weight: float = 2.0,
+    scored: DataFrame, attributes: DataFrame, origin, *, scale_days: float, offset_days: float, decay: float,
+    verified_weight: float,
 ) -> DataFrame:
     """Text score plus popularity x recency x verified weight. ``attributes`` is keyed by doc_id."""
     joined = scored.join(attributes, "doc_id")
@@ -192,7 +195,8 @@ def function_score(
 
 
 def top_hits(scored: DataFrame, limit: int = 10) -> DataFrame:
-    """Best hits by score, ties by id, each with the exact total number of hits."""
+    """Best hits by score, ties by id, each with the exact total number of hits. The scores are stored, so the search runs once."""
+    scored = stage(scored, "scored")
     total = scored.agg(F.count("*").alias("total_hits"))
     best = scored.withColumn("score", F.round("score", 6)).orderBy(F.desc("score"), "doc_id").limit(limit)
     return best.crossJoin(total)  # one-row side
@@ -202,8 +206,10 @@ def highlight(
     hits: DataFrame, docs: DataFrame, id_column: str, text_column: str, stems: Sequence[str],
     before: str = "<em>", after: str = "</em>",
 ) -> DataFrame:
-    """Mark the matched words in the whole text of the hits (a top-k frame, so only its texts are analysed)."""
-    chosen = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).join(hits, "doc_id", "left_semi")
+    """Mark the matched words in the whole text of the hits (a top-k frame, so only its texts are stored and analysed)."""
+    hits = stage(hits, "hits")
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    chosen = stage(texts.join(hits, "doc_id", "left_semi"), "hit-texts")
     words = tk.base_tokens(chosen, "doc_id", "text").withColumn("term", tx.plain_term(F.col("word")))
     known = tk.stem_dictionary(words).filter(F.col("stem").isin(*stems))
     forms = words.join(known, "term", "left_semi").groupBy("doc_id").agg(F.sort_array(F.collect_set("word"), asc=False).alias("forms"))
@@ -254,13 +260,16 @@ def inner_hits(docs: DataFrame, tags: Sequence[str], mentions: Sequence[str], si
 
 
 # ---- partial names --------------------------------------------------------------------------------------------------
-def rank_by_shared_terms(token_rows: DataFrame, query_terms: Sequence[str], limit: int = 10) -> DataFrame:
-    """Documents by the number of distinct query grams or shingles they hold."""
-    hits = token_rows.filter(F.col("term").isin(*query_terms))
-    return (
-        hits.groupBy("doc_id").agg(F.countDistinct("term").alias("matches"))
-        .orderBy(F.desc("matches"), "doc_id").limit(limit)
-    )
+def rank_by_shared_terms(index: TextIndex, query_terms: Sequence[str], limit: int = 10) -> DataFrame:
+    """Documents by the number of distinct query grams or shingles they hold, from the stored index of those."""
+    hits = postings(index, list(query_terms))
+    return hits.groupBy("doc_id").agg(F.count("*").alias("matches")).orderBy(F.desc("matches"), "doc_id").limit(limit)
+
+
+def autocomplete(index: TextIndex, prefix: str, limit: int = 10) -> DataFrame:
+    """Documents with a term that begins with a prefix, those with most such terms first."""
+    hits = tk.prefix_postings(index, prefix)
+    return hits.groupBy("doc_id").agg(F.count("*").alias("matches")).orderBy(F.desc("matches"), "doc_id").limit(limit)
 
 
 def query_grams(text: str, low: int = 3, high: int = 6) -> list[str]:

@@ -1,15 +1,24 @@
-"""Token tables: one row per (document, term, position), built once and read by every search."""
+"""Token tables, and the stored positional index that every search reads.
+
+The index has one row a (term, document) with the term's frequency, its positions and the document's length, so that a query needs
+neither a length table nor a grouping of tokens. A dictionary of terms with their document and term frequencies, sorted by
+term, and one row of corpus totals are stored beside it.
+"""
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from rookery.functions import text as tx
-from rookery.functions.stemming import stem
+from rookery.functions.stemming import stem, stem_batch
 from rookery.workspace import fresh_folder
 
 # Which analysed forms each searchable field carries.
@@ -105,9 +114,13 @@ def document_lengths(tokens: DataFrame) -> DataFrame:
 
 
 # ---- stored index ---------------------------------------------------------------------------------------------------
+SLICE_TOKENS = 1 << 18
+
+
 class TextIndex(NamedTuple):
-    tokens: DataFrame  # doc_id, position, term, bucket
-    lengths: DataFrame  # doc_id, length
+    postings: DataFrame  # term, doc_id, frequency, positions, length, bucket
+    terms: DataFrame  # term, doc_freq, term_freq, bucket; sorted by term
+    totals: DataFrame  # documents, avg_length: one row
     buckets: int
 
 
@@ -115,27 +128,137 @@ def bucket_of(term: str, buckets: int) -> int:
     return zlib.crc32(term.encode()) % buckets
 
 
-def store_index(tokens: DataFrame, buckets: int = 64) -> TextIndex:
-    """Write tokens clustered by term bucket, so a query reads only the buckets of its terms.
+def _bucket(buckets: int) -> Column:
+    return (F.crc32(F.encode("term", "utf-8")) % buckets).cast("int")
+
+
+def _placed(words: Column, term) -> Column:
+    """Structs of position and term, for a function from a word to its term."""
+    return F.transform(words, lambda w, i: F.struct(i.cast("int").alias("position"), term(w).alias("term")))
+
+
+def _many(words: Column, terms) -> Column:
+    """As ``_placed`` where a word, or the words from a position on, give several terms."""
+    return F.flatten(F.transform(words, lambda w, i: F.transform(
+        terms(w, i), lambda one: F.struct(i.cast("int").alias("position"), one.alias("term"))
+    )))
+
+
+def _token_array(text: Column, analyser: str) -> Column:
+    words = tx.words(tx.strip_html(text))
+    if analyser in ("english", "plain"):
+        return F.filter(_placed(words, tx.plain_term), lambda e: ~e["term"].isin(*tx.STOP_WORDS))
+    if analyser == "raw":
+        return _placed(words, lambda w: w)
+    if analyser == "ngram":
+        return _many(words, lambda w, i: F.concat(*[tx.grams(tx.folded(w), n) for n in (3, 4, 5, 6)]))
+    if analyser == "shingles":
+        folded = F.transform(words, tx.folded)
+        return _many(folded, lambda w, i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(3), F.size(folded) - i)), lambda n: F.array_join(F.slice(folded, i + 1, n), "")
+        ))
+    if analyser in ("keyword", "normalised"):
+        return F.array(F.struct(F.lit(0).alias("position"), tx.folded(text).alias("term")))
+    raise ValueError(f"no analyser {analyser}")
+
+
+def _inverted(ids: pa.Array, lists: pa.Array, stemmed: bool) -> pa.RecordBatch:
+    """One row a (document, term) of a slice of documents, by one sort of all their tokens."""
+    counts = lists.value_lengths().to_numpy(zero_copy_only=False)
+    tokens = lists.flatten()
+    terms, positions = tokens.field("term"), tokens.field("position").to_numpy(zero_copy_only=False)
+    encoded = (stem_batch(terms) if stemmed else terms).dictionary_encode()
+    code, row = encoded.indices.to_numpy(zero_copy_only=False), np.repeat(np.arange(len(ids)), counts)
+    order = np.lexsort((positions, code, row))
+    code, row, positions = code[order], row[order], positions[order]
+    first = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])]) if len(code) else np.zeros(0, np.int64)
+    ends = np.r_[first, len(code)].astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            encoded.dictionary.take(pa.array(code[first])), ids.take(pa.array(row[first])),
+            pa.array(np.diff(ends).astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(positions.astype(np.int32))),
+            pa.array(counts[row[first]].astype(np.int32)), pa.array(np.r_[True, row[first][1:] != row[first][:-1]][: len(first)]),
+        ],
+        ["term", "doc_id", "frequency", "positions", "length", "leads"],
+    )
+
+
+def posting_rows(docs: DataFrame, id_column: str, text_column: str, analyser: str = "english") -> DataFrame:
+    """(term, doc_id, frequency, positions, length, leads): each text inverted where it is read, without a shuffle.
 
-    ``rebalance`` lets AQE cut an oversized bucket into several files: a term holding a third of all postings does not
-    end in one task.
+    Ids are unique; NULL texts and texts without a term give no row. One row of each document ``leads``, so documents can be
+    counted by counting it.
     """
-    spark = tokens.sparkSession
+    rows = docs.filter(F.col(text_column).isNotNull()).select(
+        F.col(id_column).alias("doc_id"), _token_array(F.col(text_column), analyser).alias("tokens")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, lists = batch.column("doc_id"), batch.column("tokens")
+            ends, start = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)), 0
+            while start < batch.num_rows:
+                done = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_TOKENS, side="right")))
+                yield _inverted(ids.slice(start, stop - start), lists.slice(start, stop - start), analyser == "english")
+                start = stop
+
+    schema = StructType().add("term", StringType()).add("doc_id", rows.schema["doc_id"].dataType).add("frequency", IntegerType())
+    schema = schema.add("positions", ArrayType(IntegerType())).add("length", IntegerType()).add("leads", "boolean")
+    return rows.mapInArrow(run, schema)
+
+
+def store_index(rows: DataFrame, buckets: int = 64) -> TextIndex:
+    """Write posting rows by term bucket, so that a query reads only the buckets of its terms, and the dictionary.
+
+    ``rebalance`` lets AQE cut an oversized bucket into several files: a term that a third of all documents hold does not
+    end in one task. The dictionary is cut into ranges of terms and sorted, so a prefix lies in one file or two.
+    """
+    spark = rows.sparkSession
     folder = fresh_folder(spark, "index")
-    keyed = tokens.withColumn("bucket", (F.crc32(F.encode("term", "utf-8")) % buckets).cast("int"))
+    keyed = rows.withColumn("bucket", _bucket(buckets))
     (
         keyed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term")
-        .write.partitionBy("bucket").parquet(f"{folder}/tokens")
+        .write.partitionBy("bucket").parquet(f"{folder}/postings")
+    )
+    stored = spark.read.schema(keyed.schema).parquet(f"{folder}/postings")
+    counted = stored.groupBy("term").agg(F.count("*").alias("doc_freq"), F.sum("frequency").alias("term_freq"))
+    counted = counted.withColumn("bucket", _bucket(buckets))
+    counted.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{folder}/terms")
+    totals = stored.agg(
+        F.count_if("leads").alias("documents"), (F.sum("frequency") / F.count_if("leads")).alias("avg_length")
+    )
+    totals.write.parquet(f"{folder}/totals")
+    return TextIndex(
+        stored.drop("leads"), spark.read.schema(counted.schema).parquet(f"{folder}/terms"),
+        spark.read.schema(totals.schema).parquet(f"{folder}/totals"), buckets,
     )
-    stored = spark.read.schema(keyed.schema).parquet(f"{folder}/tokens")
-    document_lengths(stored).write.parquet(f"{folder}/lengths")
-    lengths = spark.read.parquet(f"{folder}/lengths")
-    return TextIndex(stored, lengths, buckets)
 
 
 def postings(index: TextIndex, terms: list[str]) -> DataFrame:
     """Rows of the given terms only: partition pruning by bucket, then row-group pruning by term."""
     wanted = sorted({bucket_of(term, index.buckets) for term in terms})
-    rows = index.tokens.filter(F.col("bucket").isin(*wanted) & F.col("term").isin(*terms))
-    return rows.select("doc_id", "position", "term")
+    rows = index.postings.filter(F.col("bucket").isin(*wanted) & F.col("term").isin(*terms))
+    return rows.select("doc_id", "term", "frequency", "positions", "length")
+
+
+def _after_prefix(prefix: str) -> str | None:
+    """The least string greater than all that begin with the prefix."""
+    head = prefix.rstrip(chr(0x10FFFF))
+    if not head:
+        return None
+    code = ord(head[-1]) + 1
+    return head[:-1] + chr(0xE000 if code == 0xD800 else code)
+
+
+def terms_with_prefix(index: TextIndex, prefix: str) -> DataFrame:
+    """Dictionary rows of the terms that begin with a prefix; a range of the sorted term, so only its files are opened."""
+    rows = index.terms.filter(F.col("term") >= prefix)
+    after = _after_prefix(prefix)
+    return rows if after is None else rows.filter(F.col("term") < after)
+
+
+def prefix_postings(index: TextIndex, prefix: str) -> DataFrame:
+    """Postings of all terms that begin with a prefix; the buckets of those terms alone are read (dynamic pruning)."""
+    found = terms_with_prefix(index, prefix).select("bucket", "term")
+    return index.postings.join(found, ["bucket", "term"], "left_semi").select("doc_id", "term", "frequency", "positions", "length")

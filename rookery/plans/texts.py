@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.functions import text as tx
@@ -19,7 +20,7 @@ _indexes: dict[tuple, tk.TextIndex] = {}
 
 
 def index_of(t: Tables, corpus: str) -> tk.TextIndex:
-    """The stored index of a corpus: documents, tweets or the descriptions of tweet authors."""
+    """The stored index of a corpus: documents, tweets, the descriptions of tweet authors, or ``field:analyser``."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir, corpus)
     if key not in _indexes:
         _indexes[key] = build_index(t, corpus)
@@ -28,16 +29,35 @@ def index_of(t: Tables, corpus: str) -> tk.TextIndex:
 
 def build_index(t: Tables, corpus: str) -> tk.TextIndex:
     if corpus == "documents":
-        rows = tk.english_tokens(t.spread().documents, "doc_id", "text")
+        rows = tk.posting_rows(t.spread().documents, "doc_id", "text")
     elif corpus == "tweets":
-        rows = tk.english_tokens(t.spread().tweets, "id", "full_text")
-    else:
+        rows = tk.posting_rows(t.spread().tweets, "id", "full_text")
+    elif corpus == "descriptions":
         # a description is analysed once per user and then handed to the user's tweets
-        per_user = tk.english_tokens(t.users, "id", "description").withColumnRenamed("doc_id", "user_id")
+        per_user = tk.posting_rows(t.users, "id", "description").withColumnRenamed("doc_id", "user_id")
         rows = t.tweets.select(F.col("id").alias("doc_id"), "user_id").join(per_user, "user_id").drop("user_id")
+    else:
+        field, analyser = corpus.rsplit(":", 1)
+        if analyser not in tk.FIELD_ANALYZERS[field]:
+            raise ValueError(f"{field} has no form {analyser}")
+        rows = tk.posting_rows(field_values(t, field), "id", "value", analyser)
     return tk.store_index(rows, buckets=16)
 
 
+def field_values(t: Tables, field: str) -> DataFrame:
+    """(id, value) of a searchable field."""
+    if field.startswith("user."):
+        return t.users.select("id", F.col(field[5:]).alias("value"))
+    if field.startswith("place."):
+        return t.places.select("id", F.col({"name": "id"}.get(field[6:], field[6:])).alias("value"))
+    if field.startswith("entities.user_mentions."):
+        named = t.tweet_user_mentions.select(F.col("mentioned_user_id").alias("id"), F.col("mentioned_screen_name").alias("value"))
+        return named.distinct()
+    if field == "entities.hashtags.text":
+        return t.tweet_hashtag.select(F.col("tag").alias("id"), F.col("tag").alias("value")).distinct()
+    return t.tweets.select("id", F.col("full_text").alias("value"))
+
+
 # ---- oracle text ----------------------------------------------------------------------------------------------------
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -289,7 +309,9 @@ from best join tweets t on t.id = doc_id join users u on u.id = t.user_id""")
 def _(t: Tables):
     authors = t.users.select(F.col("id").alias("user_id"), "verified")
     attributes = t.tweets.select(F.col("id").alias("doc_id"), "user_id", "retweet_count", "created_at").join(authors, "user_id")
-    scored = search.function_score(_best_fields(t), attributes, dt.datetime(2000, 6, 1))
+    scored = search.function_score(
+        _best_fields(t), attributes, dt.datetime(2000, 6, 1), scale_days=23.0, offset_days=7.0, decay=0.01, verified_weight=2.0
+    )
     return _top(scored).select(*HITS)
 
 
@@ -336,15 +358,17 @@ select * from (select 'partial' as form, cast(id as varchar) as doc_id, cast((ca
 union all select * from (select 'words', id, cast((case when id = 'NATION_3' then 1 else 0 end)
   + (case when country = 'EUROPE' then 1 else 0 end)
   + (case when id = 'NATION_3' and country = 'EUROPE' then 1 else 0 end) as bigint) as matches from places
-  where id = 'NATION_3' or country = 'EUROPE' order by 3 desc, 2 limit 10) b""")
+  where id = 'NATION_3' or country = 'EUROPE' order by 3 desc, 2 limit 10) b
+union all select * from (select 'begin', id, cast(least(3, 2 + length(country) - length(replace(country, ' ', ''))) as bigint)
+  as matches from places where id like 'NATION_1%' order by 3 desc, 2 limit 10) c""")
 def _(t: Tables):
-    partial = search.rank_by_shared_terms(tk.ngram_tokens(t.users, "id", "screen_name"), search.query_grams("0012"))
-    words = search.rank_by_shared_terms(
-        tk.shingle_tokens(t.places, "id", "full_name"), search.query_shingles("Nation_3 Europe")
-    )
-    return partial.select(F.lit("partial").alias("form"), F.col("doc_id").cast("string").alias("doc_id"), "matches").unionByName(
-        words.select(F.lit("words").alias("form"), "doc_id", "matches")
-    )
+    partial = search.rank_by_shared_terms(index_of(t, "user.screen_name:ngram"), search.query_grams("0012"))
+    names = index_of(t, "place.full_name:shingles")
+    words = search.rank_by_shared_terms(names, search.query_shingles("Nation_3 Europe"))
+    begin = search.autocomplete(names, "nation_1")  # the word and the shingles from it begin so
+    forms = {"partial": partial, "words": words, "begin": begin}
+    frames = [f.select(F.lit(form).alias("form"), F.col("doc_id").cast("string").alias("doc_id"), "matches") for form, f in forms.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
 @job("a_15", T_12_SQL + """

@@ -35,7 +35,7 @@ def test_ngrams_and_shingles(spark):
 
 def test_phrases(spark):
     frame = docs(spark, "deaths were reported", "reported deaths", "deaths reported", "deaths", "rise of the nation", "rise nation")
-    index = tk.store_index(tk.english_tokens(frame, "doc_id", "text"), 4)
+    index = tk.store_index(tk.posting_rows(frame, "doc_id", "text"), 4)
     exact = search.phrase(index, tx.analyse_query("deaths reported")).collect()
     assert {r.doc_id for r in exact} == {2}
     gap = search.phrase(index, tx.analyse_query("rise of the nation")).collect()
@@ -49,8 +49,8 @@ def test_sloppy_against_brute_force(spark):
     """Neighbours in merged, offset-adjusted order, recounted in plain Python."""
     random.seed(3)
     texts = [" ".join(random.choice(["xa", "xb", "q"]) for _ in range(30)) for _ in range(40)]
-    index = tk.store_index(tk.plain_tokens(docs(spark, *texts), "doc_id", "text"), 4)
-    got = {r.doc_id: r.frequency for r in search.sloppy_frequency(index.tokens, [("xa", 0), ("xb", 1)], 3).collect()}
+    index = tk.store_index(tk.posting_rows(docs(spark, *texts), "doc_id", "text", "plain"), 4)
+    got = {r.doc_id: r.frequency for r in search.sloppy_frequency(index.postings, [("xa", 0), ("xb", 1)], 3).collect()}
     for doc, text in enumerate(texts):
         marks = sorted((p - (w == "xb"), w) for p, w in enumerate(text.split()) if w != "q")
         want = sum(1 / (1 + b[0] - a[0]) for a, b in zip(marks, marks[1:]) if a[1] != b[1] and b[0] - a[0] <= 3)
@@ -73,7 +73,74 @@ def test_highlight(spark):
     assert rows == {0: "<em>Licensed</em> under a <em>license</em>; relicensed.", 1: "nothing here"}
 
 
-def test_phrase_plan_has_no_pair_product(spark, small):
-    index = tk.store_index(tk.plain_tokens(small.documents, "doc_id", "text"), 4)
-    plan = search.phrase_frequency(index.tokens, [("xa", 0), ("xb", 1)])._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Join" not in plan
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_read_the_buckets_of_their_terms_once(spark, small):
+    index = tk.store_index(tk.posting_rows(small.documents, "doc_id", "text", "plain"), 16)
+    for found in (search.phrase(index, [("worthless", 0), ("disgust", 1)]), search.match(index, ["worthless", "disgust"]),
+                  search.phrase(index, [("worthless", 0), ("disgust", 1)], 5)):
+        plan = plan_of(found)
+        # postings, dictionary and totals; only the postings are pruned by bucket
+        assert plan.count("FileScan parquet") == 3 and plan.count("PartitionFilters: [bucket") == 1
+        assert plan.count("documents:bigint") == 1 and plan.count("doc_freq:bigint") == 1
+        assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_index_rows_equal_grouped_tokens(spark, small):
+    """Positions, lengths and statistics against the plain token table."""
+    tokens = tk.english_tokens(small.documents, "doc_id", "text")
+    index = tk.store_index(tk.posting_rows(small.documents, "doc_id", "text"), 8)
+    got = {(r.doc_id, r.term): (r.frequency, r.positions, r.length) for r in index.postings.collect()}
+    want, length = {}, {}
+    for r in tokens.collect():
+        want.setdefault((r.doc_id, r.term), []).append(r.position)
+        length[r.doc_id] = length.get(r.doc_id, 0) + 1
+    assert got == {k: (len(p), sorted(p), length[k[0]]) for k, p in want.items()}
+    stats = {r.term: (r.doc_freq, r.term_freq) for r in tk.corpus_statistics(tokens).collect()}
+    assert {r.term: (r.doc_freq, r.term_freq) for r in index.terms.collect()} == stats
+    totals = index.totals.first()
+    assert (totals.documents, round(totals.avg_length, 9)) == (len(length), round(sum(length.values()) / len(length), 9))
+
+
+def test_index_of_odd_texts(spark):
+    frame = spark.createDataFrame([("a", None), ("b", ""), ("c", "the of"), ("d", "x " * 9), (None, "lost y")], "key string, text string")
+    index = tk.store_index(tk.posting_rows(frame, "key", "text"), 4)
+    assert {(r.term, r.doc_id, r.frequency) for r in index.postings.collect()} == {("x", "d", 9), ("lost", None, 1), ("y", None, 1)}
+    empty = tk.store_index(tk.posting_rows(frame.limit(0), "key", "text"), 4)
+    assert search.match(empty, ["x"]).count() == 0 and search.phrase(empty, [("x", 0)]).count() == 0
+
+
+def test_repeated_terms_in_a_phrase(spark):
+    index = tk.store_index(tk.posting_rows(docs(spark, "die die die", "die der die", "die"), "doc_id", "text", "plain"), 4)
+    found = search.phrase(index, [("die", 0), ("die", 1)]).collect()
+    assert {(r.doc_id, r.frequency) for r in found} == {(0, 2.0)}
+
+
+def test_prefix_reads_a_range_of_the_dictionary(spark, small):
+    index = tk.store_index(tk.posting_rows(small.documents, "doc_id", "text", "plain"), 16)
+    rows = index.terms.collect()
+    for prefix in ("wor", "a", "zzzz", "\U0010ffff"):
+        want = {r.term for r in rows if r.term.startswith(prefix)}
+        assert {r.term for r in tk.terms_with_prefix(index, prefix).collect()} == want
+        held = {r.term for r in tk.prefix_postings(index, prefix).select("term").distinct().collect()}
+        assert held == want
+    plan = plan_of(tk.terms_with_prefix(index, "wor"))
+    assert "GreaterThanOrEqual(term,wor)" in plan and "LessThan(term,wos)" in plan
+    # sorted ranges: the terms of a prefix lie in one file or two
+    files = index.terms.filter("term >= 'wor' and term < 'wos'").select(F.input_file_name()).distinct().count()
+    assert files <= 2
+
+
+def test_every_field_form_is_built(spark, small):
+    from rookery.plans.texts import field_values
+
+    for field, forms in tk.FIELD_ANALYZERS.items():
+        if field.startswith("user.") or field == "place.name":
+            for form in forms:
+                assert tk.posting_rows(field_values(small, field), "id", "value", form).count() > 0
+    tokens = tk.ngram_tokens(small.users, "id", "screen_name").groupBy("doc_id", "term").count()
+    assert tk.posting_rows(small.users, "id", "screen_name", "ngram").count() == tokens.count()
+    shingles = tk.shingle_tokens(small.places, "id", "full_name").groupBy("doc_id", "term").count()
+    assert tk.posting_rows(small.places, "id", "full_name", "shingles").count() == shingles.count()
