@@ -89,8 +89,10 @@ class _Walk:
         self.clauses: list[Alternatives] = []
 
     def gap(self) -> None:
+        """Something unknown may stand here, so the strings on both sides of it are no longer the whole spelling."""
         self.clauses += _choice(self.strings)
         self.strings = {""}
+        self.exact = False
 
     def follow(self, strings: set[str]) -> None:
         if len(self.strings) * len(strings) > MOST_STRINGS:
@@ -100,7 +102,7 @@ class _Walk:
     def walk(self, nodes) -> _Walk:
         for name, value in nodes:
             kind = str(name)
-            if kind == "LITERAL":
+            if kind == "LITERAL" and value < 128:  # engines fold some other letters by their neighbours
                 self.follow({chr(value).lower()})
             elif kind == "IN" and (letters := _letters(value)):
                 self.follow(letters)
@@ -137,17 +139,15 @@ class _Walk:
         elif least:
             self._inner([nodes])
             self.gap()
-            self.exact = False
         else:
             self.gap()
-            self.exact = False
 
     exact = True
 
 
 def _letters(items) -> set[str]:
     """The characters of a small class without ranges or negation, folded to lower case; empty for any other."""
-    if any(str(name) != "LITERAL" for name, _ in items):
+    if any(str(name) != "LITERAL" or value >= 128 for name, value in items):
         return set()
     letters = {chr(v).lower() for _, v in items}
     return letters if len(letters) <= SMALL_CLASS else set()
@@ -280,8 +280,10 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, mask: str = "<secret>") -> DataFrame:
     """The documents with every span replaced by a mask (overlapping spans by one), and ``n_chars`` counted anew."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    spans = scan(docs, rules, keep=others)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # the other columns travel in one struct, so that none can clash with a name used inside
+    packed = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("kept"))
+    spans = scan(packed, rules, keep=("text", "kept"))
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
 
     def step(state: Column, span: Column) -> Column:
@@ -294,9 +296,10 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, mask: str = "<se
 
     text = F.when(F.size("found") > 0, F.aggregate("found", first, step, finish)).otherwise(F.col("text"))
     masked = spans.withColumn("text", text)
+    columns = {c: F.col("kept")[c] for c in others} | {c: F.col(c) for c in ("doc_id", "text")}
     if "n_chars" in docs.columns:
-        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return masked.select(*docs.columns)
+        columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return masked.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 # --- the same in SQL ---------------------------------------------------------------------------------------------------

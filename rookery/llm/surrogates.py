@@ -4,8 +4,9 @@ Entities are found in whole texts and reduced to a normal value (an address in l
 parts of a name). Each distinct value of a type gets one surrogate, drawn by a keyed hash of (type, value, attempt), so
 the same person or number reads the same everywhere (coreference), and without the key nothing leads back. Before use the
 surrogates are checked against each other and against all values found in the corpus: of values that drew the same
-surrogate the first keeps it, the others and those that drew a real value draw again, until none is left (distinctness).
-An occurrence is then written in its own format: separators, brackets, length and letter case stay.
+surrogate the first keeps it, the others and those that drew a real value draw again (distinctness). Names and addresses grow with
+the attempts, so they soon settle; where real values fill a space that cannot grow, such as that of private IP addresses, what is
+left after a fixed number of draws exchanges its real values in keyed order, which is as distinct. An occurrence is then written in its own format: separators, brackets, length and letter case stay.
 
 Numbers keep their length, a phone number its country code, a card number its validity, an address its top-level domain,
 an IP address its private or public kind; a given name keeps gender and script, a family name its script.
@@ -22,7 +23,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rookery.llm.batches import slices
@@ -60,6 +61,8 @@ SYLLABLES = {
     "latin": "ba be di do fa fe ga go ka ke la le mi mo na ne ra ro sa so ta ti va ve".split(),
     "cyrillic": "ба бо да де ка ко ла ле ма мо на но ра ро са со та то ва ве".split(),
 }
+LISTED = 2  # draws from the lists of names; later ones are made of syllables
+DRAWS = 12
 KINDS = ("email", "phone", "ip", "ssn", "account", "iban", "name_m", "name_f", "name_family")
 
 
@@ -134,7 +137,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     if kind == "email":
         local, domain = value.split("@", 1)
         host, top = domain.rsplit(".", 1)
-        return f"{draw.like(local)}@{draw.like(host)}.{top}"
+        more = "".join(chr(97 + draw.below(26)) for _ in range(attempt // 2))
+        return f"{draw.like(local)}{more}@{draw.like(host)}.{top}"
     if kind == "ip":
         parts = value.split(".")
         private = re.match(r"10\.|192\.168\.|172\.(?:1[6-9]|2\d|3[01])\.", value)
@@ -150,10 +154,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     if kind.startswith("name_"):
         script = script_of(value)
         names = NAMES[script][kind[5:]]
-        if attempt < len(names):
+        if attempt < LISTED:
             return names[draw.below(len(names))].lower()
         syllables = SYLLABLES[script]
-        return "".join(syllables[draw.below(len(syllables))] for _ in range(3 + attempt // 100))
+        return "".join(syllables[draw.below(len(syllables))] for _ in range(2 + attempt // 2))
     country, bar, digits = value.rpartition("|")
     fresh = str(1 + draw.below(9)) + draw.like(digits[1:])
     if kind == "account" and luhn(digits) == 0:
@@ -217,24 +221,45 @@ def mapping(values: DataFrame, key: bytes) -> DataFrame:
     real = stage(values.select("kind", "value").distinct(), "entity-values")
     current = stage(_drawn(real.withColumn("attempt", F.lit(0)), key), "surrogates")
     order = Window.partitionBy("kind", "chosen").orderBy("attempt", "value")
-    while True:
-        taken = real.select(F.col("kind").alias("k"), F.col("value").alias("v"))
+    taken = real.select(F.col("kind").alias("k"), F.col("value").alias("v"))
+    for attempt in range(1, DRAWS + 1):
         ranked = current.withColumn("place", F.row_number().over(order))
         marked = ranked.join(taken, (F.col("kind") == F.col("k")) & (F.col("chosen") == F.col("v")), "left")
         marked = stage(marked.withColumn("again", (F.col("place") > 1) | F.col("v").isNotNull()).drop("k", "v", "place"), "marked")
-        if marked.where("again").isEmpty():
-            return marked.select("kind", "value", "chosen")
-        fresh = _drawn(marked.where("again").withColumn("attempt", F.col("attempt") + 1), key)
-        current = stage(marked.where("not again").drop("again").unionByName(fresh), "surrogates")
+        settled, left = marked.where("not again").drop("again"), marked.where("again").drop("again")
+        if left.isEmpty():
+            return settled.select("kind", "value", "chosen")
+        if attempt < DRAWS:
+            fresh = _drawn(left.withColumn("attempt", F.lit(attempt)), key)
+            current = stage(settled.unionByName(fresh), "surrogates")
+    return settled.select("kind", "value", "chosen").unionByName(_exchanged(left, key))
+
+
+def _format(value: Column) -> Column:
+    """What a surrogate must keep of a value: country, network or top-level domain, and the length."""
+    kept = F.regexp_extract(value, r"^(\+\d+\||10\.|192\.168\.|172\.\d+\.)|(\.\w+)$", 0)
+    return F.concat_ws("|", kept, F.when(~value.rlike(r"^(\d+\.){3}\d+$"), F.length(value)))
+
+
+def _exchanged(left: DataFrame, key: bytes) -> DataFrame:
+    """Values that found no free surrogate take one another's place, each that of the next in keyed order.
+
+    No surrogate drawn is a real value, so these are distinct from all of them. A value that is alone in its format is doubled.
+    """
+    turn = Window.partitionBy("kind", "format").orderBy(F.sha2(F.concat(F.lit(key.hex()), "value"), 256), "value")
+    kept = left.withColumn("format", _format(F.col("value")))
+    after = F.coalesce(F.lead("value").over(turn), F.first("value").over(turn))
+    placed = kept.withColumn("after", after)
+    alone = F.concat("value", F.lit("0"), F.translate("value", "@|.", ""))
+    return placed.select("kind", "value", F.when(F.col("after") == F.col("value"), alone).otherwise(F.col("after")).alias("chosen"))
 
 
 def replace(docs: DataFrame, key: bytes) -> DataFrame:
     """(doc_id, text, n_entities): every row, its entities replaced by surrogates."""
-    every = entities(docs)
+    # detected once: positions and values are written beside the texts, and both branches read them
+    every = stage(entities(docs).withColumn("row", F.monotonically_increasing_id()), "entity-texts")
     clean = every.where(F.size("found") == 0).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"))
-    holding = stage(
-        every.where(F.size("found") > 0).withColumn("row", F.monotonically_increasing_id()), "entity-texts"
-    )
+    holding = every.where(F.size("found") > 0)
     listed = holding.select("row", F.explode("found").alias("e")).select("row", "e.*")
     chosen = mapping(listed, key)
     swaps = listed.join(chosen, ["kind", "value"]).groupBy("row").agg(

@@ -11,8 +11,9 @@ block once, and each meeting returns k rows a query at most, merged by rank. Bef
 few candidates of its own block gives the first threshold, so that later blocks prune from the start.
 
 Vectors that are null, empty or hold null or non-finite components take no part, nor do rows with a null id. Vectors of different
-lengths are compared within their length only. Ties go to the smaller id; repeated rows count once each; a query's own row
-is left out by id. An empty table gives an empty result.
+lengths are compared within their length only. Ties go to the smaller id; repeated rows of a candidate count each; a query's own
+rows are left out by id, and an id that is asked with several vectors stands for the shortest and least of them, once. Integers and
+scores that a long cannot hold become its ends. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -60,6 +61,15 @@ def statistics(vectors: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.concatenate([total / np.sqrt(n), spread], axis=1)
 
 
+def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact inner products; those that a long cannot hold are its ends."""
+    reach = float(np.abs(vectors.astype(np.float64)).max(initial=0)) * float(np.abs(query.astype(np.float64)).max(initial=0))
+    if reach * len(query) < 2**62:
+        return vectors @ query
+    whole = vectors.astype(object) @ query.astype(object)
+    return np.array([max(-(2**63), min(2**63 - 1, p)) for p in whole], np.int64)
+
+
 def best_of_block(queries, query_ids, vectors, ids, floor, k):
     """(query row, candidate row, score) of the k best candidates above each query's floor, exact."""
     q, v = queries.astype(np.float64), vectors.astype(np.float64)
@@ -71,12 +81,14 @@ def best_of_block(queries, query_ids, vectors, ids, floor, k):
         left = order[ids[order] != query_ids[i]]
         for mine, theirs in stats:
             bound = theirs[left] @ mine[i]
-            # rounding of the bound must never drop a candidate: the slack exceeds the error of a double sum
-            left = left[bound * (1 + SLACK) + 1 >= limit] if limit > -np.inf else left
+            # rounding of the bound must never drop a candidate: the slack, upwards for either sign, exceeds the error of a
+            # double sum, which grows with the terms and not with what they add up to
+            slack = SLACK * (np.abs(theirs[left]) @ np.abs(mine[i])) + 1
+            left = left[bound + slack >= limit] if limit > -np.inf else left
         if not len(left):
             continue
-        exact = vectors[left] @ queries[i]
-        take = np.argsort(-exact, kind="stable")[:k]  # left is in id order, so ties stay with the smaller id
+        exact = products(vectors[left], queries[i])
+        take = np.argsort(~exact, kind="stable")[:k]  # falling scores; left is in id order, so ties stay with the smaller id
         take = take[exact[take] >= limit]
         found += [(i, left[t], exact[t]) for t in take.tolist()]
     return found
@@ -86,11 +98,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "vec_id"
     """(query_id, rank, vec_id, score): the k rows of ``vectors`` with the highest integer product for each query row."""
     return _ranked(
         stage(quantised(vectors, key=key, vector=vector, scale=scale), "vectors"),
-        stage(quantised(queries, key=key, vector=vector, scale=scale), "queries"),
+        stage(_one_an_id(quantised(queries, key=key, vector=vector, scale=scale)), "queries"),
         k,
     )
 
 
+def _one_an_id(queries: DataFrame) -> DataFrame:
+    least = queries.groupBy("id").agg(F.min(F.struct("dims", "ints")).alias("q"))
+    return least.select("id", "q.dims", "q.ints")
+
+
 def _blocks(frame: DataFrame, rows: int) -> tuple[DataFrame, int]:
     n = max(1, ceil(frame.count() / rows))
     return frame.withColumn("block", F.pmod(F.xxhash64("id", F.lit(n)), F.lit(n)).cast("int")), n

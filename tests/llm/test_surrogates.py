@@ -49,3 +49,16 @@ def test_odd_rows(odd, documents):
     got = s.replace(odd, KEY)
     assert got.count() == odd.count() and got.where("text is null").count() == 1
     assert s.replace(documents.limit(0), KEY).count() == 0
+
+
+def test_full_spaces_settle_in_a_fixed_number_of_draws(spark):
+    emails = [("email", f"{a}@{b}.co") for a in map(chr, range(97, 123)) for b in map(chr, range(97, 123))]
+    private = [("ip", f"192.168.{a}.{b}") for a in range(1, 255) for b in range(1, 255, 8)] + [("ip", "192.168.9.3")]
+    names = [("name_m", f"name{i}") for i in range(3000)]
+    full = [("ip", f"192.168.{a}.{b}") for a in range(1, 255) for b in range(1, 255)]
+    for values in (emails + private + names, full):
+        rows = s.mapping(spark.createDataFrame(values, "kind string, value string"), KEY).collect()
+        assert {(r.kind, r.value) for r in rows} == set(values)
+        assert len({(r.kind, r.chosen) for r in rows}) == len(rows) == len(set(values))
+        assert all(r.chosen != r.value for r in rows)
+        assert all(r.chosen.startswith("192.168.") for r in rows if r.kind == "ip")

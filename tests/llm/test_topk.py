@@ -49,3 +49,27 @@ def test_bounds_hold():
     for starts in v.levels(64):
         bound = v.statistics(a, starts) @ v.statistics(b, starts).T
         assert (bound + 1e-6 >= a @ b.T).all()
+
+
+def test_strongly_negative_scores_ties_and_repeated_queries(spark, monkeypatch):
+    monkeypatch.setattr(v, "BLOCK_ROWS", 5)
+    rng = np.random.default_rng(4)
+    rows = [(i, (10 + rng.normal(size=64) * 0.01).tolist()) for i in range(1, 25)] + [(100 + i, [10.0] * 64) for i in range(12)]
+    asked = [(0, [-10.0] * 64), (50, [-1000.0] * 64), (0, [-10.0] * 64), (0, [-9.0] * 64)]
+    vectors = spark.createDataFrame(rows + asked, "vec_id long, embedding array<double>")
+    queries = vectors.where("vec_id % 50 = 0 and vec_id < 100")
+    got = sorted(tuple(r) for r in v.top_k(vectors, queries, 5).collect())
+    candidates = rows + [(50, asked[1][1]), (0, asked[0][1]), (0, asked[2][1]), (0, asked[3][1])]
+    want = []
+    for q, x in ((0, asked[0][1]), (50, asked[1][1])):
+        a = np.floor(np.array(x) * 256).astype(int)
+        scores = sorted((-int(a @ np.floor(np.array(y) * 256).astype(int)), i) for i, y in candidates if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    assert got == want
+
+
+def test_huge_components_are_exact_or_the_ends_of_a_long(spark):
+    rows = [(0, [1e12, 1.0]), (1, [2.0, 3.0]), (2, [1e15, 0.0]), (3, [-1e15, 0.0]), (4, [1e300, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.score for r in v.top_k(vectors, vectors.where("vec_id = 0"), 5).collect()}
+    assert got == {1: 256 * 10**12 * 512 + 256 * 768, 2: 2**63 - 1, 3: -(2**63), 4: 2**63 - 1}
