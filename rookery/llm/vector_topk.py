@@ -61,11 +61,8 @@ def statistics(vectors: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.concatenate([total / np.sqrt(n), spread], axis=1)
 
 
-def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products; those that a long cannot hold are its ends."""
-    reach = float(np.abs(vectors.astype(np.float64)).max(initial=0)) * float(np.abs(query.astype(np.float64)).max(initial=0))
-    if reach * len(query) < 2**62:
-        return vectors @ query
+def wide_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact inner products of integers whose products may not fit a long; those that do not are its ends."""
     whole = vectors.astype(object) @ query.astype(object)
     return np.array([max(-(2**63), min(2**63 - 1, p)) for p in whole], np.int64)
 
@@ -74,20 +71,20 @@ def best_of_block(queries, query_ids, vectors, ids, floor, k):
     """(query row, candidate row, score) of the k best candidates above each query's floor, exact."""
     q, v = queries.astype(np.float64), vectors.astype(np.float64)
     stats = [(statistics(q, s), statistics(v, s)) for s in levels(q.shape[1])]
+    # rounding of a bound must never drop a candidate: it grows with the lengths of the two rows, whatever their product's sign
+    slack = [(SLACK * np.linalg.norm(mine, axis=1), np.linalg.norm(theirs, axis=1)) for mine, theirs in stats]
+    wide = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[1] >= 2**62
     order = np.argsort(ids, kind="stable")
     found = []
     for i in range(len(q)):
         limit = floor[i]
         left = order[ids[order] != query_ids[i]]
-        for mine, theirs in stats:
-            bound = theirs[left] @ mine[i]
-            # rounding of the bound must never drop a candidate: the slack, upwards for either sign, exceeds the error of a
-            # double sum, which grows with the terms and not with what they add up to
-            slack = SLACK * (np.abs(theirs[left]) @ np.abs(mine[i])) + 1
-            left = left[bound + slack >= limit] if limit > -np.inf else left
+        for (mine, theirs), (own, other) in zip(stats, slack):
+            if limit > -np.inf:
+                left = left[theirs[left] @ mine[i] + own[i] * other[left] + 1 >= limit]
         if not len(left):
             continue
-        exact = products(vectors[left], queries[i])
+        exact = wide_products(vectors[left], queries[i]) if wide else vectors[left] @ queries[i]
         take = np.argsort(~exact, kind="stable")[:k]  # falling scores; left is in id order, so ties stay with the smaller id
         take = take[exact[take] >= limit]
         found += [(i, left[t], exact[t]) for t in take.tolist()]
