@@ -165,6 +165,26 @@ def add_counts(counters: DataFrame, events: DataFrame, key: str, name: str, sign
     )
 
 
+def net_changes(changes: DataFrame, follows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(added, removed) pairs of a log (follower_id, followee_id, op, seq) against the edges there are.
+
+    Only the last change of a pair counts, so an unfollow that is taken back in the same batch changes nothing; of two changes
+    with one number the follow wins. Follows of edges that are there, unfollows of edges that are not, and so a batch applied
+    before, give nothing. A pair's changes are reduced before they are joined, however often it changed.
+    """
+    pair = ["follower_id", "followee_id"]
+    last = changes.groupBy(*pair).agg(F.max(F.struct("seq", (F.col("op") == "follow").alias("follows"))).alias("last"))
+    known = follows.select(*pair)
+    added = last.filter("last.follows").select(*pair).join(known, pair, "left_anti")
+    removed = last.filter("not last.follows").select(*pair).join(known, pair, "left_semi")
+    return added, removed
+
+
+def apply_changes_to_follows(follows: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    pair = ["follower_id", "followee_id"]
+    return follows.select(*pair).join(removed, pair, "left_anti").unionByName(added)
+
+
 def apply_follow_changes(
     entries: DataFrame, cards: DataFrame, follows: DataFrame, added: DataFrame, removed: DataFrame,
     n: int = FEED_SIZE, seed: int = OWN_SIZE,
@@ -172,10 +192,10 @@ def apply_follow_changes(
     """Feeds after follows and unfollows.
 
     A new follow brings the followee's newest ``seed`` posts. Whoever unfollows gets the feed rebuilt from the
-    remaining edges, because entries cut off earlier may come back.
+    remaining edges, because entries cut off earlier may come back. A pair in both sets stays; ``net_changes`` orders them.
     """
     pair = ["follower_id", "followee_id"]
-    gone = removed.select(*pair).distinct()
+    gone = removed.select(*pair).distinct().join(added.select(*pair), pair, "left_anti")
     leavers = gone.select(F.col("follower_id").alias("user_id")).distinct()
     new_edges = added.select(*pair).distinct().join(follows.select(*pair), pair, "left_anti")
     remaining = follows.select(*pair).join(gone, pair, "left_anti").join(
@@ -194,7 +214,7 @@ def apply_follow_counts(counters: DataFrame, follows: DataFrame, added: DataFram
     pair = ["follower_id", "followee_id"]
     known = follows.select(*pair)
     new = added.select(*pair).distinct().join(known, pair, "left_anti")
-    gone = removed.select(*pair).distinct().join(known, pair, "left_semi")
+    gone = removed.select(*pair).distinct().join(known, pair, "left_semi").join(added.select(*pair), pair, "left_anti")
     for events, sign in ((new, 1), (gone, -1)):
         counters = add_counts(counters, events, "followee_id", "followers_count", sign)
         counters = add_counts(counters, events, "follower_id", "following_count", sign)

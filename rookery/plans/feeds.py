@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.operators import feed
@@ -117,9 +120,20 @@ def _(t: Tables):
     old, added = t.follows.filter(mix % 11 != 0), t.follows.filter(mix % 11 == 0)
     removed = old.filter((mix + F.col("followee_id")) % 13 == 0)
     entries = feed.build_feeds(cards(t), old)
+    # the log: every change, some of them repeated, and unfollows that are taken back or come after a follow that is not kept
+    def logged(pairs: DataFrame, op: str, seq: int) -> DataFrame:
+        return pairs.select("follower_id", "followee_id", F.lit(op).alias("op"), F.lit(seq).alias("seq"))
+
+    wavering = old.filter((mix % 7 == 0) & ((mix + F.col("followee_id")) % 13 != 0))
+    never = added.select(F.col("followee_id").alias("follower_id"), F.col("follower_id").alias("followee_id")).join(
+        t.follows.select("follower_id", "followee_id"), ["follower_id", "followee_id"], "left_anti"
+    )
+    log = [(added, "follow", 1), (added, "follow", 5), (removed, "unfollow", 2), (wavering, "unfollow", 3), (wavering, "follow", 4),
+           (never, "follow", 6), (never, "unfollow", 7)]
+    added, removed = feed.net_changes(reduce(DataFrame.unionByName, [logged(*entry) for entry in log]), old)
     after = feed.apply_follow_changes(entries, cards(t), old, added, removed)
     counted = feed.apply_follow_counts(
-        feed.user_counters(t.users.select("id"), t.tweets, old), old, added.unionByName(added), removed
+        feed.user_counters(t.users.select("id"), t.tweets, old), old, added, removed
     )
     out = after.select(F.lit("feed").alias("kind"), "user_id", "rank", "post_id")
     for kind in ("followers", "following"):

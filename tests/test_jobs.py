@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from rookery.functions import geo
@@ -103,12 +104,82 @@ def enumerate_pairs(pairs):
     return [(i, float(x), float(y)) for i, (x, y) in enumerate(pairs)]
 
 
-def test_zone_area_converges(spark):
+def test_zone_cells_equal_a_raster_and_are_few(spark):
     city = ring(spark, 1, [(s, x * 1000, y * 1000) for s, x, y in SQUARE])
-    land = ring(spark, 2, list(enumerate_pairs([(-9e3, -9e3), (9e3, -9e3), (9e3, 9e3), (-9e3, 9e3), (-9e3, -9e3)])))
-    true = 4 * 2000 * 1000 + 3.14159265 * 1000**2
-    errors = [abs(spatial.zone_cells(city, land, 1000.0, c, 1000.0).count() * c * c - true) for c in (200.0, 50.0)]
-    assert errors[1] < errors[0] + 1 and errors[1] / true < 0.01
+    land = ring(spark, 2, list(enumerate_pairs([(-9e3, -9e3), (9e3, -9e3), (9e3, 2.2e3), (-9e3, 2.2e3), (-9e3, -9e3)])))
+    finest = 12.5
+
+    def raster(step):
+        at = (np.arange(-1200 // step, 3200 // step + 1) + 0.5) * step
+        x, y = np.meshgrid(at, at)
+        away = np.hypot(np.maximum(0, np.maximum(-x, x - 2000)), np.maximum(0, np.maximum(-y, y - 2000)))
+        return int(((away > 0) & (away <= 1000) & (y < 2200)).sum()), x.size
+
+    cells = spatial.zone_cells(city, land, 1000.0, finest, 5, 1000.0).collect()
+    assert len({(c.i, c.j, c.width) for c in cells}) == len(cells)
+    assert sum(c.width**2 for c in cells) == raster(finest)[0] * finest**2
+    assert len(cells) < raster(finest)[1] / 20  # as many as the outlines are long, not as the zone is wide
+
+
+def test_interval_cover_against_sampling(spark, monkeypatch):
+    """Every road that a fine sampling finds near, and no other; the border has gaps, corners and a point."""
+    monkeypatch.setattr(spatial, "on_grid", lambda df, x="x", y="y": df)
+    rng = np.random.default_rng(7)
+    borders = [(0.0, 0.0, 50.0, 0.0), (50.0, 0.0, 50.0, 40.0), (80.0, 40.0, 80.0, 40.0), (0.0, 33.0, 25.0, 33.0)]
+    starts = rng.uniform(-12, 95, (200, 2))
+    roads = {r: [tuple((starts[r] + rng.normal(0, 8, 2)).round(2)) for _ in range(2 + r % 2)] for r in range(200)}
+    roads |= {300: [(5.0, 9.0), (45.0, 9.0)], 301: [(5.0, 10.0), (40.0, 10.0)], 302: [(5.0, 10.1), (6.0, 10.1)], 303: [(80.0, 45.0)] * 2, 304: [(9.0, 16.5), (10.0, 16.5)]}
+
+    def near(x, y):
+        out = np.full(len(x), np.inf)
+        for x1, y1, x2, y2 in borders:
+            dx, dy = x2 - x1, y2 - y1
+            t = np.clip(((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy), 0, 1) if dx or dy else 0
+            out = np.minimum(out, np.hypot(x - x1 - t * dx, y - y1 - t * dy))
+        return out
+
+    want = set()
+    for r, v in roads.items():
+        t = np.linspace(0, 1, 20001)
+        if all((near(a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])) <= 10 + 1e-9).all() for a, b in zip(v, v[1:])):
+            want.add(r)
+    vertices = spark.createDataFrame([(r, i, float(x), float(y)) for r, v in roads.items() for i, (x, y) in enumerate(v)], "road_id int, seq int, x double, y double")
+    edges = spark.createDataFrame(borders, "x1 double, y1 double, x2 double, y2 double")
+    assert {300, 301, 303} < want and 302 not in want and len(want) > 5
+    assert {r.road_id for r in spatial.roads_within(vertices, edges, 10.0).collect()} == want
+
+
+def haversine(x1, y1, x2, y2):
+    x1, y1, x2, y2 = map(np.radians, (x1, y1, x2, y2))
+    a = np.sin((y2 - y1) / 2) ** 2 + np.cos(y1) * np.cos(y2) * np.sin((x2 - x1) / 2) ** 2
+    return 2 * geo.EARTH_RADIUS * np.arcsin(np.sqrt(a))
+
+
+def test_points_near_and_nearest_anywhere_on_the_globe(spark):
+    rng = np.random.default_rng(8)
+    x, y = rng.uniform(-180, 180, 400), np.degrees(np.arcsin(rng.uniform(-1, 1, 400)))
+    x, y = np.r_[x, rng.uniform(-180, 180, 200), np.full(50, 180.0), rng.normal(20, 0.01, 150)], np.r_[y, rng.uniform(88, 90, 200), rng.uniform(-1, 1, 50), rng.normal(48, 0.01, 150)]
+    points = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))], "id int, x double, y double")
+    qx, qy = np.r_[x[::9], -180.0, 179.999, 0.0, 20.0, 20.3], np.r_[y[::9], 0.5, -0.5, 90.0, 48.0, 48.2]
+    queries = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(qx, qy))], "query_id int, qx double, qy double")
+    away = haversine(qx[:, None], qy[:, None], x, y)
+    for metres in (2_000.0, 90_000.0, 3_000_000.0, 15_000_000.0):
+        got = {(r.query_id, r.id) for r in spatial.points_near(points, queries, metres).collect()}
+        sure, may = set(zip(*np.nonzero(away <= metres - 1e-3))), set(zip(*np.nonzero(away <= metres + 1e-3)))
+        assert sure <= got <= may
+    got = {r.query_id: r.metres for r in spatial.nearest_points(points, queries).collect()}
+    assert len(got) == len(qx) and np.allclose([got[i] for i in range(len(qx))], away.min(axis=1), atol=1e-3)
+    assert spatial.nearest_points(points.limit(0), queries).count() == 0
+
+
+def test_polygon_within_looks_between_touching_vertices(spark):
+    # the outer border leaves the inner edge at (7, 3), dips below it and comes back at (8, 3)
+    notched = ring(spark, 9, list(enumerate_pairs([(0, 0), (10, 0), (10, 6), (8.5, 6), (8, 3), (7.5, 2), (7, 3), (6.5, 6), (0, 6), (0, 0)])))
+    across = ring(spark, 1, list(enumerate_pairs([(1, 1), (9, 1), (9, 3), (1, 3), (1, 1)])))
+    below = ring(spark, 2, list(enumerate_pairs([(1, 1), (9, 1), (9, 2), (1, 2), (1, 1)])))
+    inside = ring(spark, 3, list(enumerate_pairs([(0, 0), (7, 0), (7, 3), (0, 3), (0, 0)])))
+    inner = across.unionByName(below).unionByName(inside)
+    assert rows(spatial.polygons_within(inner, notched, 1.0)) == {(2, 9), (3, 9)}
 
 
 def test_replayed_posts_and_repeated_follows_change_nothing(spark):
@@ -124,6 +195,30 @@ def test_replayed_posts_and_repeated_follows_change_nothing(spark):
     assert rows(feed.apply_follow_counts(counters, follows, added, never)) == {(1, 0, 1), (2, 2, 0), (3, 0, 1)}
 
 
+def test_follow_log_keeps_the_last_change_of_a_pair(spark):
+    follows = spark.createDataFrame([(1, 2), (3, 2), (5, 2)], "follower_id int, followee_id int")
+    log = spark.createDataFrame(
+        [(1, 2, "unfollow", 1), (1, 2, "follow", 2), (3, 2, "follow", 3), (3, 2, "unfollow", 4), (4, 2, "follow", 5), (4, 2, "follow", 6),
+         (6, 2, "follow", 7), (6, 2, "unfollow", 8), (5, 2, "follow", 9), (7, 2, "unfollow", 9)],
+        "follower_id int, followee_id int, op string, seq int",
+    )
+    added, removed = feed.net_changes(log, follows)
+    assert rows(added) == {(4, 2)} and rows(removed) == {(3, 2)}
+    counters = spark.createDataFrame([(i, 3 if i == 2 else 0, 1 if i in (1, 3, 5) else 0) for i in range(1, 8)], "id int, followers_count int, following_count int")
+    after = feed.apply_follow_counts(counters, follows, added, removed)
+    assert {r.id: (r.followers_count, r.following_count) for r in after.collect()} == {1: (0, 1), 2: (3, 0), 3: (0, 0), 4: (0, 1), 5: (0, 1), 6: (0, 0), 7: (0, 0)}
+    # the same batch again finds nothing to do
+    again = feed.net_changes(log, feed.apply_changes_to_follows(follows, added, removed))
+    assert [df.count() for df in again] == [0, 0]
+    # without an order, a pair that is in both sets stays
+    both = spark.createDataFrame([(1, 2)], follows.schema)
+    kept = feed.apply_follow_counts(counters, follows, both, both)
+    assert {r.id: r.followers_count for r in kept.collect()}[2] == 3
+    cards = spark.createDataFrame([(2, 10, dt.datetime(2020, 1, 1), "a")], "author_id int, post_id int, created_at timestamp, username string")
+    feeds = feed.apply_follow_changes(feed.build_feeds(cards, follows), cards, follows, both, both)
+    assert rows(feeds.select("user_id", "post_id")) == {(1, 10), (3, 10), (5, 10)}
+
+
 def test_late_and_repeated_events_count_once(spark, tmp_path):
     schema = "event_id int, user_id int, ts timestamp"
     source = f"{tmp_path}/in"
