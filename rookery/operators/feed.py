@@ -92,6 +92,16 @@ def build_feeds(cards: DataFrame, follows: DataFrame, n: int = FEED_SIZE) -> Dat
     return _rank_feed(deliver(newest_per_author(cards, n), follows), n)
 
 
+def attach_cards(entries: DataFrame, users: DataFrame, comments: DataFrame, reactions: DataFrame) -> DataFrame:
+    """Entries with their author's name and their post's counters; entries of unknown authors are left out."""
+    authors = users.select(F.col("id").alias("author_id"), F.col("screen_name").alias("username"))
+    likes = counts_by(reactions.filter(F.col("type") == "like"), "target_id", "post_id", "likes_count")
+    named = entries.join(authors, "author_id")
+    for counts, name in ((likes, "likes_count"), (counts_by(comments, "post_id", "post_id", "comments_count"), "comments_count")):
+        named = named.join(counts, "post_id", "left").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
+    return named
+
+
 def pack_feeds(entries: DataFrame, columns: Sequence[str], name: str = "latest_posts_followed") -> DataFrame:
     """The document form: one row per user with a bounded array."""
     packed = F.array_sort(F.collect_list(F.struct("rank", *columns)))

@@ -35,9 +35,10 @@ select user_id, rank, post_id, username, coalesce(l.n, 0) as likes_count, coales
 from ranked left join (select target_id, count(*) as n from reactions group by 1) l on l.target_id = post_id
 left join (select post_id as p, count(*) as n from comments group by 1) c on c.p = post_id where rank <= 50""")
 def _(t: Tables):
-    counted = feed.post_counters(t.tweets.select("id", "user_id", "created_at"), t.comments, t.reactions)
-    rich = feed.post_cards(counted, t.users, ("likes_count", "comments_count"))
-    entries = feed.build_feeds(rich, t.follows)
+    # the feeds are cut from ids and times; names and counters join what is left
+    thin = t.tweets.select(F.col("id").alias("post_id"), F.col("user_id").alias("author_id"), "created_at")
+    thin = thin.join(t.users.select(F.col("id").alias("author_id")), "author_id", "left_semi")
+    entries = feed.attach_cards(feed.build_feeds(thin, t.follows), t.users, t.comments, t.reactions)
     return entries.select("user_id", "rank", "post_id", "username", "likes_count", "comments_count")
 
 

@@ -10,6 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rookery.functions import stemming
 from rookery.functions import text as tx
 from rookery.operators import search
 from rookery.operators import tokens as tk
@@ -155,6 +156,66 @@ def _top(scored):
     return scored.withColumn("score", F.round("score", 6))
 
 
+def _shape_sql(x: str) -> str:
+    """Letters as C and V; y is a vowel after a consonant. Runs of y alternate, so the two rules are applied in turn."""
+    out = f"regexp_replace(regexp_replace(regexp_replace({x}, '[^aeiouy]', 'C', 'g'), '[aeiou]', 'V', 'g'), '^y', 'C')"
+    for _ in range(6):
+        out = f"replace(replace({out}, 'Cy', 'CV'), 'Vy', 'VC')"
+    return out
+
+
+def _measure_sql(x: str) -> str:
+    return f"len(regexp_extract_all({_shape_sql(x)}, 'V+C+'))"
+
+
+def _short_sql(x: str) -> str:
+    return f"(length({x}) >= 3 and {_shape_sql(x)} like '%CVC' and right({x}, 1) not in ('w', 'x', 'y'))"
+
+
+def _suffix_sql(name: str, source: str, suffixes, fits: str) -> str:
+    """One step: the longest suffix that a word ends in goes, if what is left of the word fits."""
+    longest = sorted(suffixes, key=lambda p: -len(p[0]))
+    cut = " ".join(f"when w like '%{old}' then {len(old)}" for old, _ in longest)
+    put = " ".join(f"when w like '%{old}' then '{new}'" for old, new in longest)
+    return (
+        f"{name}a as (select t, w, case {cut} end as k, case {put} end as put from {source}), "
+        f"{name}b as (select t, w, put, left(w, length(w) - k) as h, right(w, k) as gone from {name}a), "
+        f"{name} as (select t, case when h is not null and {fits} then h || put else w end as w from {name}b)"
+    )
+
+
+def _stems_sql(name: str, terms: str) -> str:
+    """(t, w): every distinct term with its stem, by the published rules as a chain of steps."""
+    whole = "case when w like '%e' and (m > 1 or (m = 1 and not short)) then h else w end"
+    return ", ".join([
+        f"z0 as (select distinct term as t from {terms})",
+        "z1 as (select t, case when t like '%sses' or t like '%ies' then left(t, length(t) - 2) "
+        "when t like '%s' and t not like '%ss' then left(t, length(t) - 1) else t end as w from z0 where length(t) > 2)",
+        "z2 as (select t, w, case when w like '%eed' then null "
+        f"when w like '%ed' and {_shape_sql('left(w, length(w) - 2)')} like '%V%' then left(w, length(w) - 2) "
+        f"when w like '%ing' and {_shape_sql('left(w, length(w) - 3)')} like '%V%' then left(w, length(w) - 3) end as h from z1)",
+        f"z3 as (select t, case when w like '%eed' and {_measure_sql('left(w, length(w) - 3)')} > 0 then left(w, length(w) - 1) "
+        "when h is null then w when h like '%at' or h like '%bl' or h like '%iz' then h || 'e' "
+        f"when length(h) > 1 and right(h, 1) = left(right(h, 2), 1) and {_shape_sql('h')} like '%C' "
+        "and right(h, 1) not in ('l', 's', 'z') then left(h, length(h) - 1) "
+        f"when {_measure_sql('h')} = 1 and {_short_sql('h')} then h || 'e' else h end as w from z2)",
+        f"z4 as (select t, case when w like '%y' and {_shape_sql('left(w, length(w) - 1)')} like '%V%' "
+        "then left(w, length(w) - 1) || 'i' else w end as w from z3)",
+        _suffix_sql("z5", "z4", stemming.STEP2, f"{_measure_sql('h')} > 0"),
+        _suffix_sql("z6", "z5", stemming.STEP3, f"{_measure_sql('h')} > 0"),
+        _suffix_sql("z7", "z6", [(x, "") for x in stemming.STEP4],
+                    f"{_measure_sql('h')} > 1 and (gone <> 'ion' or right(h, 1) in ('s', 't'))"),
+        f"z8 as (select t, w, h, {_measure_sql('h')} as m, {_short_sql('h')} as short from "
+        "(select t, w, left(w, length(w) - 1) as h from z7))",
+        f"z9 as (select t, {whole} as w from z8)",
+        f"{name} as (select t, case when w like '%ll' and {_measure_sql('left(w, length(w) - 1)')} > 1 "
+        "then left(w, length(w) - 1) else w end as w from z9 union all select t, t from z0 where length(t) <= 2)",
+    ])
+
+
+STEMS_SQL = "with " + _words_sql("a", "documents", "doc_id", "text") + ", " + _terms_sql("k", "a", {}) + ", " + _stems_sql("st", "k")
+
+
 # ---- token tables ---------------------------------------------------------------------------------------------------
 @job("t_01", "with " + _words_sql("a", "documents", "doc_id", "text") + ", " + _words_sql("b", "pages", "page_id", "html")
      + " select 'document' as kind, * from a union all select 'page', * from b")
@@ -163,12 +224,12 @@ def _(t: Tables):
     return docs.unionByName(tk.base_tokens(t.spread().pages, "page_id", "html").withColumn("kind", F.lit("page")))
 
 
-@job("t_02")
+@job("t_02", STEMS_SQL + " select doc_id, position, w as term from k join st on st.t = k.term")
 def _(t: Tables):
     return tk.english_tokens(t.spread().documents, "doc_id", "text")
 
 
-@job("t_03")
+@job("t_03", STEMS_SQL + " select t as term, w as stem from st")
 def _(t: Tables):
     return tk.stem_dictionary(tk.plain_tokens(t.spread().documents, "doc_id", "text"))
 
