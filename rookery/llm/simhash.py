@@ -171,8 +171,15 @@ def labelled(docs: DataFrame, *, shingle: int, radius: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, shingle: int, radius: int) -> DataFrame:
-    """The documents that name their component, one row each; rows without a doc_id are left as they are."""
+    """The documents that name their component; rows without a doc_id are left as they are.
+
+    Rows that share a doc_id and a text are one document; different texts under one doc_id are documents of their own, all kept
+    if the id names their component, so that no rerun picks another of them.
+    """
     found = near_duplicates(docs, shingle=shingle, radius=radius)
     firsts = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    same = [f"keep_one {i}" for i in range(2)]  # two independent hashes of the text: 128 bits
+    kept = docs.join(firsts, "doc_id", "left_semi").withColumns(
+        {same[0]: F.xxhash64("text"), same[1]: F.xxhash64(F.lit("again"), "text")}
+    ).dropDuplicates(["doc_id", *same]).drop(*same)
     return kept.unionByName(docs.where("doc_id is null"))

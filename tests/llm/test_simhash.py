@@ -76,3 +76,10 @@ def test_keep_one(odd, documents):
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert kept.columns == odd.columns and ids == [1, 2, 5, 6, 8, 9] and kept.where("doc_id is null").count() == 1
     assert s.keep_one(documents.limit(0), shingle=4, radius=4).count() == 0
+
+
+def test_different_texts_under_one_id_are_kept(spark):
+    rows = [(1, "a b c d e f g"), (1, "quite another text stands here now"), (1, "a b c d e f g"), (2, "a b c d e f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(tuple(r) for r in s.keep_one(docs, shingle=4, radius=4).collect())
+    assert kept == [(1, "a b c d e f g"), (1, "quite another text stands here now")]
