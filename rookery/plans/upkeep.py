@@ -126,7 +126,7 @@ def _(t: Tables):
      "where followers_count < 10 and friends_count > 1000")
 def _(t: Tables):
     columns = ["followers_count", "friends_count", "statuses_count"]
-    stored = merge.write_clustered(t.users.select("id", *columns), columns)
+    stored = merge.write_interleaved(t.users.select("id", *columns), *columns[:2])
     return rel.few_followers_many_friends(stored, 10, 1000)
 
 

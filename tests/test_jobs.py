@@ -301,3 +301,34 @@ def test_state_goes_to_disk_and_the_setting_comes_back(spark, tmp_path):
         assert rows(jobs.maintain_rows(counted, ["user_id"], f"{tmp_path}/out", f"{tmp_path}/at")) == {(7, 2)}
     assert spark.conf.get(jobs.STATE_STORE) == before
     assert list((tmp_path / "at" / "state").rglob("*.zip"))
+
+
+def test_interleaved_layout_skips_row_groups_on_either_column(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    frame = spark.range(40000).select(
+        F.pmod(F.xxhash64("id"), F.lit(1000)).cast("int").alias("a"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5000)).alias("b")
+    )
+    stored = {
+        "curve": merge.write_interleaved(frame, "a", "b", 64), "sorted": merge.write_clustered(frame, ["a", "b"], 64),
+    }
+
+    def opened(table, column, low, high):
+        """Row groups whose statistics leave the range possible."""
+        count = 0
+        for path in table.inputFiles():
+            meta = pq.ParquetFile(path.removeprefix("file://").removeprefix("file:")).metadata
+            at = meta.schema.names.index(column)
+            for g in range(meta.num_row_groups):
+                stats = meta.row_group(g).column(at).statistics
+                count += stats.min <= high and stats.max >= low
+        return count
+
+    for table in stored.values():
+        assert table.filter("a between 100 and 150 and b between 1000 and 1200").count() == frame.filter("a between 100 and 150 and b between 1000 and 1200").count()
+        assert table.count() == 40000
+    assert opened(stored["sorted"], "b", 1000, 1200) >= 60  # a plain order helps its first column only
+    for column, low, high in (("a", 100, 150), ("b", 1000, 1200)):
+        assert opened(stored["curve"], column, low, high) <= 24
+    odd = spark.createDataFrame([(None, 1), (2, None), (2, 2)], "a int, b int")
+    assert merge.write_interleaved(odd, "a", "b").count() == 3 and merge.write_interleaved(odd.limit(0), "a", "b").count() == 0
