@@ -172,12 +172,18 @@ def _(t: Tables):
 
 
 def _wkt_rows(t: Tables) -> DataFrame:
-    """District polygons and customer points as text; every ninth point is cut short."""
+    """District polygons, some with a hole and an island in it, and customer points as text; every ninth point is cut short."""
     pair = F.concat_ws(" ", *[(F.floor(F.col(c) * 1e6) / 1e6).cast("string") for c in "xy"])
-    rings = t.district_ring.groupBy("poly_id").agg(F.array_sort(F.collect_list(F.struct("seq", pair.alias("p")))).alias("v"))
-    polygons = rings.select(
+    rings = t.district_ring.groupBy("poly_id", "ring").agg(F.array_sort(F.collect_list(F.struct("seq", pair.alias("p")))).alias("v"))
+    texts = rings.withColumn("t", F.concat(F.lit("("), F.array_join(F.transform("v", lambda e: e["p"]), ", "), F.lit(")")))
+    whole = texts.groupBy("poly_id").agg(F.array_sort(F.collect_list(F.struct("ring", "t"))).alias("r"))
+    body = F.array_join(F.transform(F.slice("r", 1, 2), lambda e: e["t"]), ", ")
+    island = F.when(F.size("r") > 2, F.get("r", F.lit(2))["t"])
+    polygons = whole.select(
         F.col("poly_id").cast("bigint").alias("osm_id"),
-        F.concat(F.lit("POLYGON(("), F.array_join(F.transform("v", lambda e: e["p"]), ", "), F.lit("))")).alias("wkt"),
+        F.coalesce(
+            F.concat(F.lit("MULTIPOLYGON(("), body, F.lit("), ("), island, F.lit("))")), F.concat(F.lit("POLYGON("), body, F.lit(")"))
+        ).alias("wkt"),
     )
     point = F.concat(F.lit("POINT("), pair, F.lit(")"))
     points = t.geo_points.select(
@@ -189,26 +195,27 @@ def _wkt_rows(t: Tables) -> DataFrame:
 
 
 @job("i_13", """
-select cast(poly_id as bigint) as osm_id, 'POLYGON' as kind, 4326 as srid, count(*) as vertices, round(sum(floor(x * 1e6) / 1e6), 5) as sx
+select cast(poly_id as bigint) as osm_id, case when max(ring) = 2 then 'MULTIPOLYGON' else 'POLYGON' end as kind, 4326 as srid, count(*) as vertices, round(sum(floor(x * 1e6) / 1e6), 5) as sx
 from district_ring group by poly_id
 union all select id + 1000, case when id % 9 <> 0 then 'POINT' else 'refused' end, case when id % 9 <> 0 then 4326 end,
   case when id % 9 <> 0 then 1 end, case when id % 9 <> 0 then round(floor(x * 1e6) / 1e6, 5) end from geo_points""")
 def _(t: Tables):
     table, refused = geometry.load_geometries(_wkt_rows(t), "wkt", 4326)
-    total = F.aggregate("ring", F.lit(0.0), lambda a, v: a + v["x"])
-    good_rows = table.select(
-        "osm_id", "kind", "srid", F.size("ring").cast("bigint").alias("vertices"), F.round(total, 5).alias("sx")
+    good_rows = geometry.vertex_table(table, "osm_id", "kind", "srid").groupBy("osm_id", "kind", "srid").agg(
+        F.count("*").alias("vertices"), F.round(F.sum("x"), 5).alias("sx")
     )
     return good_rows.unionByName(refused.select("osm_id", F.lit("refused").alias("kind")), allowMissingColumns=True)
 
 
 @job("i_14", """
-select cast(poly_id as bigint) as osm_id, 'POLYGON((' || string_agg(floor(x * 1e6) / 1e6 || ' ' || floor(y * 1e6) / 1e6, ',' order by seq)
-  || '))' as wkt, 4326 as srid from district_ring group by poly_id
+select cast(poly_id as bigint) as osm_id, case when max(ring) = 2 then 'MULTIPOLYGON((' else 'POLYGON(' end
+  || string_agg(case when ring = 2 then '),(' when ring = 1 then ',' else '' end || r, '' order by ring)
+  || case when max(ring) = 2 then '))' else ')' end as wkt, 4326 as srid from (select poly_id, ring, '('
+  || string_agg(floor(x * 1e6) / 1e6 || ' ' || floor(y * 1e6) / 1e6, ',' order by seq) || ')' as r from district_ring group by 1, 2) z group by poly_id
 union all select id + 1000, 'POINT(' || floor(x * 1e6) / 1e6 || ' ' || floor(y * 1e6) / 1e6 || ')', 4326 from geo_points where id % 9 <> 0""")
 def _(t: Tables):
     table, _ = geometry.load_geometries(_wkt_rows(t), "wkt", 4326)
-    return table.select("osm_id", geometry.as_text(F.col("kind"), F.col("ring")).alias("wkt"), "srid")
+    return table.select("osm_id", geometry.as_text(F.col("kind"), F.col("rings")).alias("wkt"), "srid")
 
 
 # ---- normalisation --------------------------------------------------------------------------------------------------

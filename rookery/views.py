@@ -61,16 +61,23 @@ from events cross join (select count(*) as n_o from orders) co where event_type
 select event_id as id, user_id, (event_id*17) % n_o as target_id, 'like' as type, ts as created_at
 from events cross join (select count(*) as n_o from orders) co where event_type in ('purchase','view')""",
     "district_ring": """
-select n_nationkey as poly_id, n_name as name, seq, 16.9e0 + gi*1.1e0 + ((gi*7+gj*3)%5)/5e1 as x,
+select n_nationkey as poly_id, n_name as name, 0 as ring, false as hole, seq, 16.9e0 + gi*1.1e0 + ((gi*7+gj*3)%5)/5e1 as x,
   47.7e0 + gj*3.8e-1 + ((gi*3+gj*11)%4)/8e1 as y
 from (select n_nationkey, n_name, seq, n_nationkey%5+di as gi, cast(floor(n_nationkey/5e0) as int)+dj as gj
-  from nation cross join (values (0,0,0),(1,1,0),(2,1,1),(3,0,1),(4,0,0)) c(seq,di,dj)) g""",
+  from nation cross join (values (0,0,0),(1,1,0),(2,1,1),(3,0,1),(4,0,0)) c(seq,di,dj)) g
+union all select n_nationkey, n_name, ring, ring = 1, seq, 16.9e0 + n_nationkey%5*1.1e0 + dx, 47.7e0 + floor(n_nationkey/5e0)*3.8e-1 + dy
+from nation cross join (values (1,0,3e-1,1.2e-1),(1,1,7e-1,1.2e-1),(1,2,7e-1,2.6e-1),(1,3,3e-1,2.6e-1),(1,4,3e-1,1.2e-1),
+  (2,0,4e-1,1.6e-1),(2,1,4e-1,2.2e-1),(2,2,6e-1,2.2e-1),(2,3,6e-1,1.6e-1),(2,4,4e-1,1.6e-1)) h(ring,seq,dx,dy)
+where n_nationkey % 3 = 0 and (ring = 1 or n_nationkey % 2 = 0)""",
     "region_ring": """
-select r_regionkey as poly_id, r_name as name, seq, 16.9e0 + gi*1.1e0 + ((gi*7+gj*3)%5)/5e1 as x,
+select r_regionkey as poly_id, r_name as name, 0 as ring, false as hole, seq, 16.9e0 + gi*1.1e0 + ((gi*7+gj*3)%5)/5e1 as x,
   47.7e0 + gj*3.8e-1 + ((gi*3+gj*11)%4)/8e1 as y
 from (select r_regionkey, r_name, seq, gi, r_regionkey+dj as gj from region cross join
   (values (0,0,0),(1,1,0),(2,2,0),(3,3,0),(4,4,0),(5,5,0),(6,5,1),(7,4,1),(8,3,1),(9,2,1),(10,1,1),(11,0,1),(12,0,0))
-    c(seq,gi,dj)) g""",
+    c(seq,gi,dj)) g
+union all select r_regionkey, r_name, ring, true, seq, 16.9e0 + gi*1.1e0 + 5e-1 + m*sx, 47.7e0 + r_regionkey*3.8e-1 + 1.9e-1 + (m-1.3e-1)*sy
+from region cross join (values (0,1,3,2e-1),(0,2,1,2e-1),(1,1,4,2.2e-1),(2,1,2,2e-1)) h(r,ring,gi,m)
+  cross join (values (0,-1,-1),(1,-1,1),(2,1,1),(3,1,-1),(4,-1,-1)) c(seq,sx,sy) where r_regionkey = r""",
     "geo_points": """
 select c_custkey as id, c_name as name, 17e0 + ((c_custkey*7919)%100000)/1e5*5.2e0 as x,
   47.75e0 + ((c_custkey*104729+17)%100000)/1e5*1.75e0 as y from customer""",

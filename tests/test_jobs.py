@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import math
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -332,3 +333,79 @@ def test_interleaved_layout_skips_row_groups_on_either_column(spark, tmp_path):
         assert opened(stored["curve"], column, low, high) <= 24
     odd = spark.createDataFrame([(None, 1), (2, None), (2, 2)], "a int, b int")
     assert merge.write_interleaved(odd, "a", "b").count() == 3 and merge.write_interleaved(odd.limit(0), "a", "b").count() == 0
+
+
+def rings_of(spark, poly, *outlines):
+    """Rings given as (hole, corners), numbered in order."""
+    table = [
+        (poly, f"p{poly}", number, hole, seq, float(x), float(y))
+        for number, (hole, corners) in enumerate(outlines) for seq, (x, y) in enumerate([*corners, corners[0]])
+    ]
+    return spark.createDataFrame(table, "poly_id int, name string, ring int, hole boolean, seq int, x double, y double")
+
+
+def box(x1, y1, x2, y2):
+    return [(x1, y1), (x2, y1), (x2, y2), (x1, y2)]
+
+
+def test_holes_and_islands_by_even_odd(spark):
+    # the hole is wound like the outline, the island the other way: neither matters
+    lake = rings_of(spark, 1, (False, box(0, 0, 10, 10)), (True, box(2, 2, 8, 8)), (False, box(4, 4, 5, 5)[::-1]))
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 3.0, 3.0), (3, 4.5, 4.5), (4, 2.0, 3.0), (5, 4.0, 4.5), (6, 11.0, 3.0)], "id int, x double, y double")
+    for size in (0.7, 3.0, 50.0):
+        assert rows(spatial.points_within(points, lake, size)) == {(1, 1), (3, 1)}
+    got = spatial.centroids(lake).first()
+    assert got.signed_area == 100 - 36 + 1
+    assert math.isclose(got.x, (100 * 5 - 36 * 5 + 4.5) / 65) and math.isclose(got.y, got.x)
+    assert rows(spatial.names(lake)) == {(1, "p1")}
+
+
+def test_polygons_within_those_with_holes(spark):
+    lake = rings_of(spark, 9, (False, box(0, 0, 10, 10)), (True, box(2, 2, 8, 8)), (False, box(4, 4, 6, 6)))
+    gap = rings_of(spark, 8, (False, box(20, 0, 24, 4)), (False, box(24, 4, 28, 8)), (False, box(20, 4, 24, 8)), (False, box(24, 0, 28, 4)))
+    inner = [
+        rings_of(spark, 1, (False, box(1, 1, 9, 9))),  # goes round the hole
+        rings_of(spark, 2, (False, box(1, 1, 9, 9)), (True, box(2, 2, 8, 8))),  # has the same hole
+        rings_of(spark, 3, (False, box(4, 4, 5, 5))),  # on the island
+        rings_of(spark, 4, (False, box(3, 3, 7, 7))),  # island and water
+        rings_of(spark, 5, (False, box(1, 1, 9, 9)), (True, box(3, 3, 7, 7))),  # a smaller hole
+        rings_of(spark, 6, (False, box(0, 0, 2, 2))),  # touches the hole in a corner
+        rings_of(spark, 7, (False, box(1, 1, 9, 9)), (True, box(2, 2, 8, 8)), (False, box(4, 4, 6, 6))),
+        rings_of(spark, 10, (False, box(21, 1, 23, 3))),  # in one part of several
+    ]
+    outer = lake.unionByName(gap)
+    some = inner[0]
+    for one in inner[1:]:
+        some = some.unionByName(one)
+    assert rows(spatial.polygons_within(some, outer, 2.5)) == {(2, 9), (3, 9), (6, 9), (7, 9), (10, 8)}
+
+
+def test_texts_of_several_rings(spark):
+    from rookery.sources import geometry
+
+    long = ", ".join(f"{i} {i % 7}" for i in range(100_000))
+    texts = {
+        1: "POLYGON((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 2, 1 1))",
+        2: " multipolygon ( ((0 0,4 0,4 4,0 0)) , ((5 5,6 5,6 6,5 5),(5.1 5.1,5.2 5.1,5.2 5.2,5.1 5.1)) ) ",
+        3: f"POLYGON(({long}, 0 0))",
+        4: "LINESTRING(0 0, 1 1)",
+        5: "POINT(1 -2.5e1)",
+        -1: "POLYGON((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 2, 1 9))",  # the hole is open
+        -2: "MULTIPOLYGON((0 0, 4 0, 4 4, 0 0))",
+        -3: "POLYGON((0 0, 4 0, 4 4, 0 0)",
+        -4: "POLYGON EMPTY",
+        -5: "LINESTRING(0 0)",
+        -6: None,
+        -7: "",
+    }
+    table, refused = geometry.load_geometries(spark.createDataFrame(list(texts.items()), "osm_id int, wkt string"), "wkt", 4326)
+    assert {r.osm_id for r in refused.collect()} == {k for k in texts if k < 0}
+    found = {r.osm_id: r.t for r in table.select("osm_id", geometry.as_text(table.kind, table.rings).alias("t")).collect()}
+    assert found[1] == "POLYGON((0.0 0.0,4.0 0.0,4.0 4.0,0.0 0.0),(1.0 1.0,2.0 1.0,2.0 2.0,1.0 1.0))"
+    assert found[2] == (
+        "MULTIPOLYGON(((0.0 0.0,4.0 0.0,4.0 4.0,0.0 0.0)),((5.0 5.0,6.0 5.0,6.0 6.0,5.0 5.0),(5.1 5.1,5.2 5.1,5.2 5.2,5.1 5.1)))"
+    )
+    assert found[4] == "LINESTRING(0.0 0.0,1.0 1.0)" and found[5] == "POINT(1.0 -25.0)"
+    counts = {tuple(r) for r in geometry.vertex_table(table, "osm_id").groupBy("osm_id", "ring", "hole").count().collect()}
+    assert counts == {(1, 0, False, 4), (1, 1, True, 4), (2, 0, False, 4), (2, 1, False, 4), (2, 2, True, 4),
+                      (3, 0, False, 100_001), (4, 0, False, 2), (5, 0, False, 1)}
