@@ -1,12 +1,12 @@
 """Mixing sources to target weights with fixed-length blocks.
 
 Every source's words, in a fixed order of its documents, are cut into blocks of ``block`` words. A mix is a row of slots,
-each filled by one block, dealt over output shards of ``shard_slots`` slots. A shard's counts by source are drawn from the
-multinomial distribution under the condition that all shards together meet every source's quota: plain multinomial counts
-would miss small targets by their sampling error and could take a block a third time. The draw runs down a binary tree of
-shards, so every shard finds its own counts, and the rank of its first slot in each source, without the others. Slots go
-through a pseudorandom permutation of the source's block indices (a new one each time the source is used up), and the
-blocks drawn are joined to the blocks of the documents by index.
+each filled by one block, dealt over output shards of ``shard_slots`` slots. A shard's counts by source are one multinomial
+draw from the sources' shares, seeded by the shard. All shards' draws are summed by source, and what a source was drawn beyond
+its quota is repaired: those slots, spread by a pseudorandom permutation over all of the source's, are handed in order to the
+sources drawn too rarely, so that every quota is met exactly and no block is taken too often. About the square root of the
+number of slots change hands. Slots go through a pseudorandom permutation of the source's block indices (a new one each time
+the source is used up), and the blocks drawn are joined to the blocks of the documents by index.
 
 Sizes are words (maximal runs without ASCII white space). Null or wordless texts have size 0 and take nothing; the null
 source is a source, last in order; repeated rows are separate documents; equal keys are ordered by a hash of the text, so
@@ -31,7 +31,8 @@ from rookery.workspace import literal_table, stage
 WORD = r"[^\x20\x09-\x0D]+"
 MOST_SOURCES = 100_000
 CHUNK_ROWS = 2048
-EXACT_SLOTS = 500_000_000
+SPAN_CHUNKS = 4096
+DRAW_SHARDS = 256
 
 
 @dataclass(frozen=True)
@@ -79,33 +80,11 @@ def plan_sources(
 # --- draws -------------------------------------------------------------------------------------------------------------
 
 
-def _part(rng: np.random.Generator, counts: np.ndarray, taken: int) -> np.ndarray:
-    """How many of ``taken`` slots, out of all, belong to each source."""
-    total = int(counts.sum())
-    if total <= EXACT_SLOTS:
-        return rng.multivariate_hypergeometric(counts, taken, method="marginals")
-    # beyond the library's range: the normal form of the same distribution, rounded and brought to the exact sum
-    f = taken / total
-    low, high = np.maximum(0, counts - (total - taken)), np.minimum(counts, taken)
-    drawn = np.rint(counts * f + np.sqrt(counts * f * (1 - f)) * rng.standard_normal(len(counts))).astype(np.int64)
-    drawn = np.clip(drawn, low, high)
-    for i in np.argsort(-counts):
-        drawn[i] = np.clip(drawn[i] + taken - drawn.sum(), low[i], high[i])
-    return drawn
-
-
-def shard_counts(slots: np.ndarray, shards: int, per_shard: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(slots of each source in the shard, slots of each source in all shards before it)."""
-    low, high, counts, before = 0, shards, slots.copy(), np.zeros_like(slots)
-    while high - low > 1:
-        middle = (low + high) // 2
-        rng = np.random.default_rng([seed, low, high])
-        left = _part(rng, counts, min((middle - low) * per_shard, int(counts.sum())))
-        if shard < middle:
-            counts, high = left, middle
-        else:
-            counts, before, low = counts - left, before + left, middle
-    return counts, before
+def shard_counts(slots: np.ndarray, per_shard: int, shard: int, seed: int) -> np.ndarray:
+    """A shard's slots by source: a multinomial draw by the sources' shares of all slots."""
+    total = int(slots.sum())
+    rng = np.random.default_rng([seed, shard])
+    return rng.multinomial(min(per_shard, total - shard * per_shard), slots / total)
 
 
 def permuted(index: np.ndarray, size: int, key: Sequence[int]) -> np.ndarray:
@@ -126,32 +105,105 @@ def permuted(index: np.ndarray, size: int, key: Sequence[int]) -> np.ndarray:
     return found.astype(np.int64)
 
 
+class Repair:
+    """Brings the slots drawn to the quotas: the n-th surplus slot of all goes to the n-th place still open."""
+
+    def __init__(self, quotas: np.ndarray, drawn: np.ndarray, seed: int):
+        self.quotas, self.drawn, self.seed = quotas, drawn, seed
+        surplus = np.maximum(0, drawn - quotas)
+        self.first = np.cumsum(surplus) - surplus
+        self.open = np.maximum(0, quotas - drawn)
+        self.ends = np.cumsum(self.open)
+
+    def settle(self, number: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sources, ranks below their quotas) of the slots of some ranks that were drawn for a source."""
+        numbers = np.full(len(ranks), number)
+        if self.drawn[number] <= self.quotas[number]:
+            return numbers, ranks
+        places = permuted(ranks, int(self.drawn[number]), (self.seed, number, 0, 1))
+        over = places >= self.quotas[number]
+        nth = self.first[number] + places[over] - self.quotas[number]
+        to = np.searchsorted(self.ends, nth, side="right")
+        numbers[over] = to
+        places[over] = self.drawn[to] + nth - (self.ends[to] - self.open[to])
+        return numbers, places
+
+
+def chosen_blocks(numbers: np.ndarray, ranks: np.ndarray, blocks: Sequence[int], seed: int) -> np.ndarray:
+    """The block of each slot: its rank through the permutation of its source's blocks that its turn has."""
+    found = np.empty(len(ranks), np.int64)
+    for i in np.unique(numbers).tolist():
+        at = np.flatnonzero(numbers == i)
+        turns = ranks[at] // blocks[i]
+        for turn in np.unique(turns).tolist():
+            own = at[turns == turn]
+            found[own] = permuted(ranks[own] % blocks[i], blocks[i], (seed, i, turn))
+    return found
+
+
+def earlier(sums: DataFrame, value: str) -> DataFrame:
+    """(number, chunk, base): the sum of a value over the chunks of the same number before each.
+
+    Spans of chunks are added up first, so no task has all chunks of a number in hand.
+    """
+    spanned = sums.withColumn("span", F.floor(F.col("chunk") / SPAN_CHUNKS))
+    spans = spanned.groupBy("number", "span").agg(F.sum(value).alias("in_span"))
+    over_spans = Window.partitionBy("number").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("number", "span").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = spans.select("number", "span", F.coalesce(F.sum("in_span").over(over_spans), F.lit(0)).alias("span_base"))
+    return spanned.join(starts, ["number", "span"]).select(
+        "number", "chunk", (F.col("span_base") + F.coalesce(F.sum(value).over(inside), F.lit(0))).alias("base")
+    )
+
+
 def draws(spark, sources: Sequence[Source], per_shard: int, seed: int) -> DataFrame:
-    """(shard, slot, number, block_no): the block of each slot of the mix."""
+    """(shard, slot, number, block_no): the block of each slot of the mix.
+
+    Shards are drawn twice, from the same seeds: once to add up the counts by chunk of shards, once to fill the slots.
+    """
     slots = np.array([s.slots for s in sources], np.int64)
     blocks = [s.blocks for s in sources]
     shards = ceil(int(slots.sum()) / per_shard)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_chunk(chunk: int) -> range:
+        return range(chunk * DRAW_SHARDS, min(shards, (chunk + 1) * DRAW_SHARDS))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                counts, before = shard_counts(slots, shards, per_shard, shard, seed)
-                numbers = np.repeat(np.arange(len(slots)), counts)
-                chosen = []
-                for i in np.flatnonzero(counts).tolist():
-                    rank = np.arange(before[i], before[i] + counts[i])
-                    for turn in range(int(rank[0]) // blocks[i], int(rank[-1]) // blocks[i] + 1):
-                        own = rank[rank // blocks[i] == turn] % blocks[i]
-                        chosen.append(permuted(own, blocks[i], (seed, i, turn)))
-                order = np.random.default_rng([seed, shards, shard]).permutation(len(numbers))
+            for chunk in batch.column(0).to_pylist():
+                total = sum(shard_counts(slots, per_shard, shard, seed) for shard in of_chunk(chunk))
+                some = np.flatnonzero(total)
                 yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(np.full(len(numbers), shard)),
-                    "slot": pa.array(np.arange(len(numbers))),
-                    "number": pa.array(numbers[order].astype(np.int32)),
-                    "block_no": pa.array(np.concatenate(chosen)[order] if chosen else np.empty(0, np.int64)),
+                    "chunk": pa.array(np.full(len(some), chunk)), "number": pa.array(some.astype(np.int32)), "n": pa.array(total[some])
                 })
 
-    return spark.range(shards).mapInArrow(run, "shard long, slot long, number int, block_no long")
+    sums = stage(spark.range(ceil(shards / DRAW_SHARDS)).mapInArrow(count, "chunk long, number int, n long"), "draws")
+    drawn = np.zeros(len(slots), np.int64)
+    for r in sums.groupBy("number").agg(F.sum("n").alias("n")).collect():  # one row a source
+        drawn[r["number"]] = r["n"]
+    repair = Repair(slots, drawn, seed)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                before = np.zeros(len(slots), np.int64)
+                before[[b["number"] for b in row["bases"]]] = [b["base"] for b in row["bases"]]
+                for shard in of_chunk(row["chunk"]):
+                    counts = shard_counts(slots, per_shard, shard, seed)
+                    own = [repair.settle(i, np.arange(before[i], before[i] + counts[i])) for i in np.flatnonzero(counts).tolist()]
+                    before += counts
+                    numbers, ranks = (np.concatenate(column) for column in zip(*own))
+                    order = np.random.default_rng([seed, shards, shard]).permutation(len(numbers))
+                    yield pa.RecordBatch.from_pydict({
+                        "shard": pa.array(np.full(len(numbers), shard)),
+                        "slot": pa.array(np.arange(len(numbers))),
+                        "number": pa.array(numbers[order].astype(np.int32)),
+                        "block_no": pa.array(chosen_blocks(numbers, ranks, blocks, seed)[order]),
+                    })
+
+    # a chunk's list has a base for each source met in it
+    bases = earlier(sums, "n").groupBy("chunk").agg(F.collect_list(F.struct("number", "base")).alias("bases"))
+    return bases.mapInArrow(fill, "shard long, slot long, number int, block_no long")
 
 
 # --- documents ---------------------------------------------------------------------------------------------------------
@@ -168,13 +220,11 @@ def placed(sizes: DataFrame, sources: Sequence[Source]) -> DataFrame:
     rows = sizes.where("size > 0").join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     chunks = max(1, ceil(sizes.count() / CHUNK_ROWS))
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "tag"), F.lit(chunks)).cast("int"))
-    sums = rows.groupBy("number", "chunk").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("number").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("number", "chunk", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
+    bases = earlier(rows.groupBy("number", "chunk").agg(F.sum("size").alias("words")), "words")
     inside = (
         Window.partitionBy("number", "chunk").orderBy("doc_id", "tag", "row").rowsBetween(Window.unboundedPreceding, -1)
     )
-    return rows.join(bases, ["number", "chunk"]).withColumn(
+    return rows.join(bases.hint("merge"), ["number", "chunk"]).withColumn(
         "start", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     )
 
@@ -190,7 +240,7 @@ def takes(sizes: DataFrame, sources: Sequence[Source], block: int, per_shard: in
     )
     first = F.greatest(F.col("start"), F.col("block_no") * block)
     end = F.least(F.col("start") + F.col("size"), (F.col("block_no") + 1) * block)
-    return cut.join(drawn, ["number", "block_no"]).select(
+    return cut.join(drawn.hint("merge"), ["number", "block_no"]).select(
         "row", (first - F.col("start")).alias("start_word"), (end - first).alias("words"), "times"
     )
 
@@ -232,7 +282,7 @@ def report(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
     return (
         rows.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("name")))
-        .join(taken, "row", "left")
+        .join(taken.hint("merge"), "row", "left")
         .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )
 
@@ -243,7 +293,10 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     A copy that is taken whole keeps its text; any other holds its taken words in order, joined by blanks. ``n_chars``
     is counted anew.
     """
-    rows = stage(docs.withColumn("row", F.monotonically_increasing_id()), "mix-input")
+    others = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
+    # the other columns travel in one struct, so that none can clash with a name used inside
+    kept = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("kept")
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text", kept), "mix-input")
     sizes = stage(_sized(rows), "sizes")
     found = takes(sizes, _measured(sizes, mix), mix.block, mix.shard_slots, mix.seed)
     parts = found.groupBy("row").agg(F.collect_list(F.struct("start_word", "words", "times")).alias("parts"))
@@ -255,7 +308,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
     length = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["words"])
     text = F.when(length == F.size("all_words"), F.col("text")).otherwise(F.array_join(cut, " "))
-    made = rows.join(own, "row").withColumn("all_words", words).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        made = made.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return made.select(*docs.columns)
+    made = rows.join(own.hint("merge"), "row").withColumn("all_words", words).withColumn("text", text)
+    columns = {c: F.col("kept")[f"c{i}"] for i, c in enumerate(others)} | {c: F.col(c) for c in ("doc_id", "source", "text")}
+    if "n_chars" in others:
+        columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return made.select(*[columns[c].alias(c) for c in docs.columns])

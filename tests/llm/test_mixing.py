@@ -6,6 +6,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rookery.llm import mixing as m
 
@@ -23,20 +24,51 @@ def test_permutations():
         assert sorted(m.permuted(np.arange(n), n, (1, 2)).tolist()) == list(range(n))
 
 
-def test_shards_add_up_to_the_quotas():
-    slots = np.array([5, 0, 100, 33])
-    total = np.zeros(4, int)
-    for shard in range(14):
-        counts, before = m.shard_counts(slots, 14, 10, shard, 7)
-        assert (before == total).all() and counts.sum() == (10 if shard < 13 else 8)
-        total += counts
-    assert (total == slots).all()
-
-
-def test_large_split_keeps_sums():
-    counts = np.array([10**10, 3 * 10**9, 5])
-    left = m._part(np.random.default_rng(1), counts, 6 * 10**9)
-    assert left.sum() == 6 * 10**9 and (left <= counts).all() and (left >= 0).all()
+def filled(slots, per_shard, seed):
+    """All slots of all shards in plain order: drawn, then repaired."""
+    shards = -(-int(slots.sum()) // per_shard)
+    counts = [m.shard_counts(slots, per_shard, shard, seed) for shard in range(shards)]
+    repair, before, got = m.Repair(slots, sum(counts), seed), np.zeros_like(slots), []
+    for own in counts:
+        for i in np.flatnonzero(own):
+            got += zip(*(x.tolist() for x in repair.settle(int(i), np.arange(before[i], before[i] + own[i]))))
+        before += own
+    return counts, got
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_repaired_draws_fill_every_quota_once(seed):
+    for slots, per_shard in (([5, 0, 100, 33], 10), ([1], 4), ([1, 1, 1], 4), ([4000, 3, 900], 64)):
+        slots = np.array(slots)
+        counts, got = filled(slots, per_shard, seed)
+        assert all(c.sum() == per_shard for c in counts[:-1]) and sum(c.sum() for c in counts) == slots.sum()
+        assert sorted(got) == [(i, rank) for i, n in enumerate(slots) for rank in range(n)]
+
+
+def test_shard_counts_are_multinomial():
+    slots = np.array([6000, 3000, 1000]) * 100
+    counts = np.array([m.shard_counts(slots, 100, shard, 3) for shard in range(6000)])
+    shares = slots / slots.sum()
+    assert np.abs(counts.mean(0) - 100 * shares).max() < 0.4
+    spread = 100 * (np.diag(shares) - np.outer(shares, shares))
+    assert np.abs(np.cov(counts.T) - spread).max() < 2
+    assert m.shard_counts(np.array([10**13, 3 * 10**13]), 4096, 10**9, 1).sum() == 4096
+
+
+def test_draws_are_those_of_plain_order(spark, monkeypatch):
+    monkeypatch.setattr(m, "DRAW_SHARDS", 3)
+    monkeypatch.setattr(m, "SPAN_CHUNKS", 2)
+    sources = [m.Source(i, str(i), 0, Fraction(0), blocks, slots) for i, (blocks, slots) in enumerate([(7, 5), (1, 0), (60, 100), (11, 22)])]
+    rows = [tuple(r) for r in m.draws(spark, sources, 5, 9).collect()]
+    assert sorted(r[:2] for r in rows) == sorted((i // 5, i % 5) for i in range(127))
+    _, got = filled(np.array([s.slots for s in sources]), 5, 9)
+    numbers, ranks = (np.array(x) for x in zip(*got))
+    want = m.chosen_blocks(numbers, ranks, [s.blocks for s in sources], 9)
+    assert Counter(r[2:] for r in rows) == Counter(zip(numbers.tolist(), want.tolist()))
+    # each turn takes every block once
+    taken = Counter(r[3] for r in rows if r[2] == 3)
+    assert set(taken.values()) == {2} and len(taken) == 11
+    assert m.draws(spark, [], 5, 9).count() == 0
 
 
 @pytest.mark.parametrize("which", ["documents", "odd"])
@@ -71,3 +103,14 @@ def test_report_and_texts_agree(which, request):
 def test_mixed_keeps_columns(odd, documents):
     assert m.mixed(odd).columns == odd.columns
     assert m.mixed(documents.limit(0)).count() == 0 and m.report(documents.limit(0)).count() == 0
+
+
+def test_mixed_with_clashing_columns(spark, documents):
+    names = ["row", "all_words", "parts", "copy", "Number", "kept", "size", "block_no", "a.b"]
+    docs = documents.limit(40)
+    for name in names:
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    got = m.mixed(docs)
+    assert got.columns == docs.columns and got.count() > 0
+    for r in got.collect():
+        assert [r[name] for name in names] == [f"own {name}" for name in names]
