@@ -5,12 +5,15 @@ UTF-8 bytes, words, word pairs), slightly smoothed, so a text's logit is the sum
 n-grams: scoring is one gather and one sum for each n-gram, whatever the text's length.
 
 Fitting takes at most ``FitBounds.per_class`` labelled rows of each class, the first by a hash of the key, of texts up to
-``FitBounds.longest`` characters; a fifth of them calibrate the logit (a slope and an offset, weighted to the classes'
-true shares). Everything else sees whole texts and all rows.
+``FitBounds.longest`` characters, one text for each key (the first in order where a key comes again); a fifth of them
+calibrate the logit (a slope and an offset, weighted to the classes' true shares). Everything else sees whole texts and all
+rows. A text of more than ``PIECE`` bytes is summed up piece by piece, cut at white space, so that memory stays bounded; the
+sums are those of the whole text, unless a single word is as long as a piece: such a word counts as several.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,11 +28,14 @@ from rookery.llm.batches import slices
 FAMILIES = ("char3", "char4", "word1", "word2")
 BITS = 16
 FIT_BYTES = 1 << 19
+PIECE = 2 << 20
 PRIOR_WEIGHT = 0.1
 GAIN = 24.0  # shares are small; a fixed gain puts them on the scale of the penalty
 SMOOTH = 16  # n-grams added to each count, so that a very short text says little either way
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+BLANK = b" \t\n\x0b\x0c\r"
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -100,6 +106,30 @@ def ngrams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     yield 3, _slot(pairs * ODD + np.uint64(1)), np.concatenate([[0], np.cumsum(counts)])
 
 
+def pieces(text: bytes, size: int) -> Iterator[tuple[bytes, bytes]]:
+    """(context, piece) in turn: the context is the last word of what came before and up to three bytes of the blanks after it, or
+    the last three bytes if these are more.
+
+    The n-grams of a text are those of each context and piece together, less those of the contexts alone.
+    """
+    start, context = 0, b""
+    while start < len(text):
+        end = min(start + size, len(text))
+        if end < len(text):
+            space = SPACE.search(text, end, end + size)
+            end = space.start() if space else end + size
+        piece = text[start:end]
+        yield context, piece
+        tail = context + piece
+        bare = tail.rstrip(BLANK)
+        word = max(bare.rfind(bytes([b])) for b in BLANK) + 1
+        if len(tail) - word > 3:
+            context = bare[max(word, len(bare) - size):] + tail[max(len(bare), len(tail) - 3):]
+        else:
+            context = tail[-3:]
+        start = end
+
+
 @dataclass(frozen=True)
 class NgramModel:
     """Weights by family and bucket, a bias, and the calibration of the logit."""
@@ -109,14 +139,35 @@ class NgramModel:
     slope: float
     offset: float
 
-    def raw(self, texts: pa.Array) -> np.ndarray:
-        """Uncalibrated logits."""
-        logits = np.full(len(texts), self.bias)
+    def _sums(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Summed weights and numbers of each text's n-grams, by family."""
+        found, counts = np.zeros((len(FAMILIES), len(texts))), np.zeros((len(FAMILIES), len(texts)))
         for family, buckets, starts in ngrams(texts):
             sums = np.concatenate([[0.0], np.cumsum(self.weights[family][buckets], dtype=np.float64)])
-            counts = np.diff(starts)
-            logits += GAIN * np.diff(sums[starts]) / (counts + SMOOTH)
-        return logits
+            found[family], counts[family] = np.diff(sums[starts]), np.diff(starts)
+        return found, counts
+
+    def _long_sums(self, text: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one long text, piece by piece."""
+        found, counts = np.zeros(len(FAMILIES)), np.zeros(len(FAMILIES))
+        for context, piece in pieces(text, size):
+            for sign, part in ((1, context + piece), (-1, context)):
+                # cut bytes need not be whole characters; n-grams only look at bytes
+                sums, seen = self._sums(pa.array([part], pa.binary()).view(pa.string()))
+                found, counts = found + sign * sums[:, 0], counts + sign * seen[:, 0]
+        return found, counts
+
+    def raw(self, texts: pa.Array, piece: int = PIECE) -> np.ndarray:
+        """Uncalibrated logits."""
+        texts = texts.cast(pa.string())
+        long = np.flatnonzero(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False) > piece)
+        short = texts
+        if len(long):
+            short = pa.compute.if_else(pa.array(np.isin(np.arange(len(texts)), long)), pa.scalar("", pa.string()), texts)
+        found, counts = self._sums(short)
+        for i in long.tolist():
+            found[:, i], counts[:, i] = self._long_sums(texts[i].as_buffer().to_pybytes(), piece)
+        return self.bias + (GAIN * found / (counts + SMOOTH)).sum(0)
 
     def probability(self, texts: pa.Array) -> np.ndarray:
         """Calibrated probability of the good class for each text; a null or empty text has that of the bias alone."""
@@ -134,8 +185,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bounds: FitB
     chosen = sound.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= bounds.per_class)
     counts = {r["good"]: r["count"] for r in sound.groupBy("good").count().collect()}
     short = docs.where(F.length("text") <= bounds.longest).select("doc_id", "text")
-    # the chosen rows are bounded by two classes times per_class
-    found = short.join(F.broadcast(chosen.select("doc_id", "good")), "doc_id").orderBy("doc_id").toArrow()
+    # the chosen rows are bounded by two classes times per_class, and each brings one text
+    met = short.join(F.broadcast(chosen.select("doc_id", "good")), "doc_id")
+    found = met.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("good").alias("good")).orderBy("doc_id").toArrow()
     n = pa.array([counts[g] for g in found.column("good").to_pylist()], pa.int64())
     return found.append_column("n", n)
 
@@ -165,7 +217,7 @@ def fit(sample: pa.Table, bounds: FitBounds = FitBounds()) -> NgramModel:
         only = good[0] if len(good) else 1.0
         return NgramModel(np.zeros((len(FAMILIES), 1 << BITS), np.float32), 0.0, 1.0, 8.0 if only else -8.0)
     row, column, value = _sparse(sample)
-    # every fifth row by order of its hash is held out for calibration
+    # every fifth row in order of its key is held out for calibration
     held = np.arange(len(good)) % 5 == 4
     if len(set(good[held])) < 2 or len(set(good[~held])) < 2:
         held[:] = False

@@ -44,6 +44,28 @@ def test_batches_do_not_change_scores(documents, labels):
     assert np.allclose(together, [model.raw(pa.array([t], pa.string()))[0] for t in texts])
 
 
+def test_long_texts_are_summed_in_pieces(documents, labels):
+    bounds = ngram_model.FitBounds(rounds=20)
+    model = ngram_model.fit(ngram_model.labelled_sample(documents, labels, "quality", bounds), bounds)
+    texts = [r.text for r in documents.where("length(text) > 300").limit(20).collect()]
+    texts += ["é日本 🙂 a  b\n\nword word " * 40, " " * 700 + "end", "a" * 100 + "\n" * 300 + "tail tail " * 30, None, "short"]
+    whole = model.raw(pa.array(texts, pa.string()))
+    for piece in (129, 200, 1000):
+        assert np.allclose(model.raw(pa.array(texts, pa.string()), piece), whole, atol=1e-9)
+    one_word = "x" * 5000 + " and more"
+    for context, part in ngram_model.pieces(one_word.encode(), 100):
+        assert len(context) <= 200 and len(part) <= 200
+    assert "".join(p.decode() for _, p in ngram_model.pieces(one_word.encode(), 100)) == one_word
+
+
+def test_sample_is_bounded_though_a_key_comes_often(spark):
+    docs = spark.createDataFrame([(i // 500, f"text {i}") for i in range(3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    sample = ngram_model.labelled_sample(docs, labels, "quality", ngram_model.FitBounds(per_class=2))
+    assert sample.num_rows == 4 and sample.column("n").to_pylist() == [3] * 4
+    assert all(t == f"text {k * 500}" or int(t[5:]) // 500 == k for k, t in zip(sample.column("doc_id").to_pylist(), sample.column("text").to_pylist()))
+
+
 @pytest.fixture(scope="module")
 def halves(spark):
     docs = spark.read.parquet(f"{BIG}/documents.parquet")
