@@ -32,7 +32,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 MOST_SOURCES = 100_000
 CHUNK_ROWS = 2048
 SPAN_CHUNKS = 4096
-DRAW_SHARDS = 256
+DRAW_SHARDS = 64
+MOST_TASKS = 20_000
 
 
 @dataclass(frozen=True)
@@ -177,7 +178,8 @@ def draws(spark, sources: Sequence[Source], per_shard: int, seed: int) -> DataFr
                     "chunk": pa.array(np.full(len(some), chunk)), "number": pa.array(some.astype(np.int32)), "n": pa.array(total[some])
                 })
 
-    sums = stage(spark.range(ceil(shards / DRAW_SHARDS)).mapInArrow(count, "chunk long, number int, n long"), "draws")
+    chunks = ceil(shards / DRAW_SHARDS)
+    sums = stage(spark.range(chunks).mapInArrow(count, "chunk long, number int, n long"), "draws")
     drawn = np.zeros(len(slots), np.int64)
     for r in sums.groupBy("number").agg(F.sum("n").alias("n")).collect():  # one row a source
         drawn[r["number"]] = r["n"]
@@ -201,9 +203,10 @@ def draws(spark, sources: Sequence[Source], per_shard: int, seed: int) -> DataFr
                         "block_no": pa.array(chosen_blocks(numbers, ranks, blocks, seed)[order]),
                     })
 
-    # a chunk's list has a base for each source met in it
+    # a chunk's list has a base for each source met in it; the rows are small and their work is not, so chunks get their own tasks
     bases = earlier(sums, "n").groupBy("chunk").agg(F.collect_list(F.struct("number", "base")).alias("bases"))
-    return bases.mapInArrow(fill, "shard long, slot long, number int, block_no long")
+    spread = bases.repartitionByRange(max(1, min(chunks, MOST_TASKS)), "chunk")
+    return spread.mapInArrow(fill, "shard long, slot long, number int, block_no long")
 
 
 # --- documents ---------------------------------------------------------------------------------------------------------
