@@ -31,6 +31,7 @@ FIT_BYTES = 1 << 19
 PIECE = 2 << 20
 PRIOR_WEIGHT = 0.1
 GAIN = 24.0  # shares are small; a fixed gain puts them on the scale of the penalty
+SPARE = 200  # keys beyond twice the sample that a class may send to its ranking
 SMOOTH = 16  # n-grams added to each count, so that a very short text says little either way
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -181,9 +182,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bounds: FitBounds) -> pa.Table:
     """(text, good, n): at most ``per_class`` rows of each class by a hash of doc_id; n is the number of the class."""
     sound = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("good"))
-    by_hash = Window.partitionBy("good").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = sound.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= bounds.per_class)
     counts = {r["good"]: r["count"] for r in sound.groupBy("good").count().collect()}
+    # only keys with small hashes are ranked: about twice what is taken, however many rows a class has
+    share = F.lit(0.0)
+    for good, count in counts.items():
+        share = F.when(F.col("good") == good, min(1.0, (2 * bounds.per_class + SPARE) / count)).otherwise(share)
+    hashed = F.xxhash64("doc_id")
+    low = sound.where(F.shiftrightunsigned(hashed, 11) < share * (1 << 53))
+    by_hash = Window.partitionBy("good").orderBy(F.shiftrightunsigned(hashed, 11), "doc_id")
+    chosen = low.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= bounds.per_class)
     short = docs.where(F.length("text") <= bounds.longest).select("doc_id", "text")
     # the chosen rows are bounded by two classes times per_class, and each brings one text
     met = short.join(F.broadcast(chosen.select("doc_id", "good")), "doc_id")

@@ -66,6 +66,15 @@ def test_sample_is_bounded_though_a_key_comes_often(spark):
     assert all(t == f"text {k * 500}" or int(t[5:]) // 500 == k for k, t in zip(sample.column("doc_id").to_pylist(), sample.column("text").to_pylist()))
 
 
+def test_sample_takes_the_smallest_hashes(spark):
+    labels = spark.range(40_000).select(F.col("id").alias("doc_id"), (F.col("id") % 9 == 0).cast("int").alias("quality"))
+    docs = labels.select("doc_id", F.col("doc_id").cast("string").alias("text"))
+    sample = ngram_model.labelled_sample(docs, labels, "quality", ngram_model.FitBounds(per_class=30))
+    hashed = labels.withColumn("h", F.shiftrightunsigned(F.xxhash64("doc_id"), 11)).orderBy("h").collect()
+    want = {r.doc_id for good in (0, 1) for r in [r for r in hashed if r.quality == good][:30]}
+    assert set(sample.column("doc_id").to_pylist()) == want
+
+
 @pytest.fixture(scope="module")
 def halves(spark):
     docs = spark.read.parquet(f"{BIG}/documents.parquet")
