@@ -130,7 +130,7 @@ def history(docs: DataFrame, folder: str, tokenizer: str) -> Rollup:
     """A corpus's rollup from its changes: load by an estimate, revise by real counts, delete exact copies, replay, fold.
 
     The load counts a word for every six characters and an id for every four; a copy is a row whose text equals that of a
-    smaller doc_id.
+    smaller doc_id. Copies go as a revision from all rows with an id to those of each text's smallest.
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
@@ -140,12 +140,14 @@ def history(docs: DataFrame, folder: str, tokenizer: str) -> Rollup:
     estimate = counted.withColumn("words", F.floor(F.col("n") / 6)).withColumn("pieces", F.floor(F.col("n") / 4))
     versions = {"words-1": "words", "word_bpe_49k": "pieces"}
     before, after = by_version(estimate, versions), by_version(counted, versions)
-    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    copies = after.join(first, "digest").where("doc_id > first_id")
+    # joined by text and id together: a text's copies, however many, are dealt over all tasks
+    named = counted.where("doc_id is not null")
+    first = named.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    originals = by_version(named.join(first, ["digest", "doc_id"], "left_semi"), versions)
     rollup = Rollup(docs.sparkSession, folder)
     rollup.apply("load", signed(before, 1))
     rollup.apply("count", revised(before, after))
     rollup.fold()
-    rollup.apply("copies", signed(copies, -1))
+    rollup.apply("copies", revised(after.where("doc_id is not null"), originals))
     rollup.apply("count", revised(before, after))
     return rollup
