@@ -29,7 +29,7 @@ from rookery.llm.chunks import library_encoder
 from rookery.workspace import literal_table
 
 MANIFEST = "parts.json"
-READ_IDS = 4 << 20
+READ_IDS, READ_ROWS = 4 << 20, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -101,12 +101,41 @@ def read_parts(folder: str) -> list[Part]:
         return [Part(**p) for p in json.loads(file.read())]
 
 
-def _mapped(disk: fs.FileSystem, path: str, dtype: str) -> np.ndarray:
-    """A file as an array: memory-mapped where it lies on a mounted file system, else read."""
-    if isinstance(disk, fs.LocalFileSystem):
-        return np.memmap(path, dtype, "r")
-    with disk.open_input_file(path) as file:
-        return np.frombuffer(file.read(), dtype)
+class _Values:
+    """A file of integers: slices come from a memory map where it lies on a mounted file system, else from ranged reads."""
+
+    def __init__(self, disk: fs.FileSystem, path: str, dtype: str):
+        self.dtype, self.mapped, self.file = np.dtype(dtype), None, None
+        if isinstance(disk, fs.LocalFileSystem):
+            self.mapped = np.memmap(path, self.dtype, "r")
+        else:
+            self.file = disk.open_input_file(path)
+
+    def between(self, start: int, end: int) -> np.ndarray:
+        if self.mapped is not None:
+            return self.mapped[start:end]
+        width = self.dtype.itemsize
+        return np.frombuffer(self.file.read_at((end - start) * width, start * width), self.dtype)
+
+
+def _records(rows: np.ndarray, ids: _Values, at: int, base: int) -> Iterator[pa.RecordBatch]:
+    """The documents of some rows of an index, the first of which starts at ``at``, in batches of about ``READ_IDS`` ids."""
+    ends, first = np.concatenate([[at], rows[:, 2]]), 0
+    while first < len(rows):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + READ_IDS, "right")) - 1)
+        cut = ends[first : last + 1]
+        wide = ids.between(int(cut[0]), int(cut[-1])).astype("<u4")
+        offsets = pa.py_buffer(((cut - cut[0]) * 4).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(rows[first:last, 0], mask=rows[first:last, 1] != 0),
+                pa.array(cut[:-1] + base),
+                pa.array(np.diff(cut)),
+                pa.BinaryArray.from_buffers(pa.binary(), last - first, [None, offsets, pa.py_buffer(wide)]),
+            ],
+            ["doc_id", "start", "n_tokens", "ids"],
+        )
+        first = last
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,30 +146,20 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         disk, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
             for part in batch.to_pylist():
-                index = _mapped(disk, f"{root}/{part['name']}.idx", "<i8").reshape(-1, 3)
-                ids = _mapped(disk, f"{root}/{part['name']}.ids", f"<u{part['width']}")
-                ends = np.concatenate([[0], index[:, 2]])
-                first = 0
-                while first < len(index):
-                    last = max(first + 1, int(np.searchsorted(ends, ends[first] + READ_IDS, "right")) - 1)
-                    cut = ends[first : last + 1]
-                    wide = ids[cut[0] : cut[-1]].astype("<u4")
-                    offsets = pa.py_buffer(((cut - cut[0]) * 4).astype(np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(index[first:last, 0], mask=index[first:last, 1] != 0),
-                            pa.array(cut[:-1] + part["base"]),
-                            pa.array(np.diff(cut)),
-                            pa.BinaryArray.from_buffers(pa.binary(), last - first, [None, offsets, pa.py_buffer(wide)]),
-                        ],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
-                    first = last
+                index = _Values(disk, f"{root}/{part['name']}.idx", "<i8")
+                ids = _Values(disk, f"{root}/{part['name']}.ids", f"<u{part['width']}")
+                at = 0
+                for first in range(0, part["documents"], READ_ROWS):
+                    last = min(first + READ_ROWS, part["documents"])
+                    rows = index.between(3 * first, 3 * last).reshape(-1, 3)
+                    yield from _records(rows, ids, at, part["base"])
+                    at = int(rows[-1, 2])
 
     parts = [(p.name, p.documents, p.tokens, p.base, p.width) for p in read_parts(folder)]
     names = "name string, documents long, tokens long, base long, width long"
     listed = literal_table(spark, parts, names)
-    return listed.repartition(max(1, len(parts)), "name").mapInArrow(run, schema)
+    # dealt in turn from one partition of short rows: a task for each part, none with several
+    return listed.coalesce(1).repartition(max(1, len(parts))).mapInArrow(run, schema)
 
 
 def checksums(files: DataFrame) -> DataFrame:

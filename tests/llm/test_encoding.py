@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyarrow import fs
 from tokenizers import Tokenizer
 
 from rookery.llm import bpe, token_files
@@ -84,3 +85,24 @@ def test_files_round_trip(which, library, request, spark):
     whole = [(k, ids + [END_ID]) for (k, _), ids in zip(rows, ids_of(library, [t for _, t in rows]))]
     want = sorted(((k, len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for k, i in whole), key=str)
     assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=str) == want
+
+
+def test_ranged_reads_equal_the_map(documents, spark):
+    folder = fresh_folder(spark, "token-files")
+    part = token_files.write_token_files(documents.coalesce(1), folder, WORD_BPE, END_ID)[0]
+    disk, root = fs.FileSystem.from_uri(folder)
+    elsewhere = fs.SubTreeFileSystem(root, disk)  # no mounted disk as far as the reader knows
+    kinds = (("idx", "<i8"), ("ids", f"<u{part.width}"))
+    near = [token_files._Values(disk, f"{root}/{part.name}.{kind}", dtype) for kind, dtype in kinds]
+    far = [token_files._Values(elsewhere, f"{part.name}.{kind}", dtype) for kind, dtype in kinds]
+    assert near[1].mapped is not None and far[1].mapped is None
+    at, seen = 0, 0
+    for first in range(0, part.documents, 7):
+        last = min(first + 7, part.documents)
+        tables = []
+        for index, ids in (near, far):
+            rows = index.between(3 * first, 3 * last).reshape(-1, 3)
+            tables.append(list(token_files._records(rows, ids, at, part.base)))
+        assert tables[0] == tables[1]
+        at, seen = int(rows[-1, 2]), seen + sum(b.num_rows for b in tables[0])
+    assert seen == part.documents and at == part.tokens
