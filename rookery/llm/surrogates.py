@@ -6,7 +6,12 @@ the same person or number reads the same everywhere (coreference), and without t
 surrogates are checked against each other and against all values found in the corpus: of values that drew the same
 surrogate the first keeps it, the others and those that drew a real value draw again (distinctness). Names and addresses grow with
 the attempts, so they soon settle; where real values fill a space that cannot grow, such as that of private IP addresses, what is
-left after a fixed number of draws exchanges its real values in keyed order, which is as distinct. An occurrence is then written in its own format: separators, brackets, length and letter case stay.
+left after a fixed number of draws exchanges its real values in keyed order, which is as distinct. An occurrence is then
+written in its own format: separators, brackets, length and letter case stay.
+
+Names are found after titles and, without one, where a given name of the lists stands before a capitalised word; a name found once
+in a text is replaced at every other place where the text has it capitalised. Given names that are not listed stay unless a title
+or another place gives them away.
 
 Numbers keep their length, a phone number its country code, a card number its validity, an address its top-level domain,
 an IP address its private or public kind; a given name keeps gender and script, a family name its script.
@@ -42,13 +47,27 @@ NAME = re.compile(
     r"(?P<title>Mr|Mrs|Ms|Miss|Herr|Frau|Señor|Señora|Monsieur|Madame|Господин|Госпожа)\.? "
     r"(?P<first>[^\W\d_a-z][\w'’-]+)(?: (?P<last>[^\W\d_a-z][\w'’-]+))?"
 )
+# a full name without a title: a given name that the lists hold before a capitalised word
+FULL_NAME = re.compile(
+    r"(?<![\w'’-])(?P<first>[^\W\d_a-z][^\W\d_A-Z]+) "
+    r"(?P<last>[^\W\d_a-z](?:['’][^\W\d_a-z])?[^\W\d_A-Z][\w'’-]*)"
+)
+CAPITALISED = re.compile(r"(?<![\w'’-])[^\W\d_a-z][\w'’-]+")
 # fixed values: titles of women; all others are of men
 FEMALE = {"Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Госпожа"}
 # fixed values: names to choose from, by script and part
 NAMES = {
     "latin": {
-        "m": "Adam Boris Carl David Emil Felix Georg Hugo Ivan Jonas Karel Leon Martin Noel Oscar Paul Robert Simon".split(),
-        "f": "Alice Bella Clara Diana Elena Flora Greta Helen Irene Julia Karin Laura Maria Nora Olga Petra Rosa Sonja".split(),
+        "m": (
+            "Adam Albert Andrew Anthony Boris Brian Carl Charles Daniel David Edward Emil Eric Felix Georg George Henry Hugo "
+            "Ivan Jacob James John Jonas Joseph Karel Kevin Leon Louis Martin Michael Noel Oscar Patrick Paul Peter Richard "
+            "Robert Simon Stephen Steven Thomas Timothy Walter William"
+        ).split(),
+        "f": (
+            "Alice Amanda Anna Barbara Bella Carol Clara Diana Dorothy Elena Elizabeth Emily Emma Flora Greta Helen Irene "
+            "Jennifer Jessica Julia Karen Karin Laura Linda Lisa Margaret Maria Martha Mary Michelle Nancy Nora Olga Patricia "
+            "Petra Rebecca Rosa Sandra Sarah Sonja Susan Teresa Ursula Victoria"
+        ).split(),
         "family": "Adler Becker Costa Dahl Ebner Fischer Garcia Haas Jensen Keller Lopez Marin Novak Olsen Perez Roth".split(),
     },
     "cyrillic": {
@@ -61,6 +80,7 @@ SYLLABLES = {
     "latin": "ba be di do fa fe ga go ka ke la le mi mo na ne ra ro sa so ta ti va ve".split(),
     "cyrillic": "ба бо да де ка ко ла ле ма мо на но ра ро са со та то ва ве".split(),
 }
+GIVEN = {name: f"name_{g}" for names in NAMES.values() for g in "mf" for name in names[g]}
 LISTED = 2  # draws from the lists of names; later ones are made of syllables
 DRAWS = 12
 KINDS = ("email", "phone", "ip", "ssn", "account", "iban", "name_m", "name_f", "name_family")
@@ -75,7 +95,11 @@ def digits_of(text: str) -> str:
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, value) of the entities, left to right without overlap; where two meet, the earlier starts stay."""
+    """(start, end, kind, value) of the entities, left to right without overlap; where two meet, the earlier starts stay.
+
+    A name is known by a title before it, or by a listed given name before a capitalised word. A name known in a text is found
+    wherever else the text has it as a capitalised word, of the kind it had first.
+    """
     found: list[tuple[int, int, str, str]] = []
     if "@" in text:
         found += [(*m.span(), "email", m[0].lower()) for m in EMAIL.finditer(text)]
@@ -90,9 +114,15 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         value = f"{country[0]}|{digits[len(country[0]) - 1:]}" if country else digits
         found.append((*m.span(), kind, value))
     found += [(*m.span(), "iban", m[0].replace(" ", "")) for m in IBAN.finditer(text) if len(digits_of(m[0])) >= 8]
-    for m in NAME.finditer(text):
-        parts = [("first", "f" if m["title"] in FEMALE else "m"), ("last", "family")] if m["last"] else [("first", "family")]
-        found += [(*m.span(part), f"name_{kind}", m[part].lower()) for part, kind in parts]
+    people = _names(text)
+    if people:
+        known: dict[str, str] = {}
+        for _, _, kind, value in people:
+            known.setdefault(value, kind)
+        placed = {p[0] for p in people}
+        words = (m for m in CAPITALISED.finditer(text) if m.start() not in placed)
+        people += [(*m.span(), known[m[0].lower()], m[0].lower()) for m in words if m[0][0].isupper() and m[0].lower() in known]
+    found += people
     kept, end = [], 0
     for entity in sorted(found, key=lambda e: (e[0], -e[1])):
         if entity[0] >= end:
@@ -101,6 +131,20 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     return kept
 
 
+def _names(text: str) -> list[tuple[int, int, str, str]]:
+    """Names that a title or a listed given name gives away."""
+    found = []
+    for m in NAME.finditer(text):
+        parts = [("first", "f" if m["title"] in FEMALE else "m"), ("last", "family")] if m["last"] else [("first", "family")]
+        found += [(*m.span(part), f"name_{kind}", m[part].lower()) for part, kind in parts]
+    placed = {f[0] for f in found}
+    for m in FULL_NAME.finditer(text):
+        kind = GIVEN.get(m["first"])
+        if kind and m["last"][0].isupper() and m.start("first") not in placed and m.start("last") not in placed:
+            found += [(*m.span("first"), kind, m["first"].lower()), (*m.span("last"), "name_family", m["last"].lower())]
+    return sorted(found)
+
+
 class Draw:
     """A stream of numbers below given bounds, keyed by (key, kind, value, attempt)."""
 

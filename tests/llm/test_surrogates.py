@@ -1,5 +1,7 @@
 """Surrogates: nothing personal left, formats kept, one surrogate a value and one value a surrogate."""
 
+import re
+
 from rookery.llm import surrogates as s
 
 KEY = b"test"
@@ -14,6 +16,34 @@ def test_found_kinds():
     assert kinds == ["name_m", "name_family", "name_family", "email", "phone", "account", "ip", "name_f", "name_family", "iban", "ssn"]
 
 
+def test_names_without_titles_and_said_again():
+    marked = [
+        ("[John] [Smith] and [Mary] [Jones] met.", "m family f family"),
+        ("Mr. [John] [Smith] called. [Smith] said no, and SMITHS or smith or Smithson stayed; [SMITH]!", "m family family family"),
+        ("Frau [Ünal] wrote; later [Ünal] came with [Peter] [O'Neil].", "family family m family"),
+        ("[Анна] Белова: [Анна]".replace("Белова", "[Белова]"), "f family f"),
+        ("The Apache License. Of Of General Public, John met no one; Paul and Rosa", ""),
+    ]
+    for text, kinds in marked:
+        plain = text.replace("[", "").replace("]", "")
+        want, shift = [], 0
+        for m in re.finditer(r"\[([^\]]+)\]", text):
+            want.append((m.start() - shift, m[1].lower()))
+            shift += 2
+        got = s.find(plain)
+        assert [(e[0], e[3]) for e in got] == want and [e[2][5:] for e in got] == kinds.split()
+        assert all(plain[e[0] : e[1]].lower() == e[3] for e in got)
+
+
+def test_one_person_reads_the_same_everywhere(spark):
+    text = "Mr. John Smith called. Smith said no. Mary Smith agreed with JOHN."
+    docs = spark.createDataFrame([(1, text), (2, "Frau Smith met Adam Keller")], "doc_id long, text string")
+    one, two = (r.text for r in sorted(s.replace(docs, KEY).collect(), key=lambda r: r.doc_id))
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) called\. (\w+) said no\. (\w+) (\w+) agreed with (\w+)\.", one)
+    assert m and m[2] == m[3] == m[5] and m[1].upper() == m[6] and m[4] != m[1]
+    assert "Smith" not in one + two and "John" not in one and two.split()[1] == m[2]
+
+
 def test_documents(documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     forward = {}
