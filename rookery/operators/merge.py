@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +29,21 @@ def insert_if_absent(
     return first_per_key(incoming, keys, order).join(target.select(*keys), list(keys), "left_anti")
 
 
-def insert_report(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows offered and rows that would be inserted."""
-    offered = incoming.agg(F.count("*").alias("rows"))
-    inserted = insert_if_absent(target, incoming, keys, order).agg(F.count("*").alias("rows"))
-    return offered.withColumn("what", F.lit("offered")).unionByName(inserted.withColumn("what", F.lit("inserted")))
+def insert_report(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(offered, inserted, repeated, present, refused) in one row: rows that come, those that insert-if-absent would append, those
+    whose key came before in the load, those whose key the target holds, and those left out for a NULL in the key.
+
+    Rows are counted by key before the join, so a key that comes often meets the target once.
+    """
+    held = target.select(*keys).distinct().withColumn("_held", F.lit(True))
+    per_key = incoming.groupBy(*keys).agg(F.count("*").alias("_rows")).join(held, list(keys), "left")
+    lost = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    new = ~lost & F.col("_held").isNull()
+    counts = per_key.agg(
+        F.sum("_rows").alias("offered"), F.count_if(new).alias("inserted"), F.sum(F.when(new, F.col("_rows") - 1)).alias("repeated"),
+        F.sum(F.when(F.col("_held"), F.col("_rows"))).alias("present"), F.sum(F.when(lost, F.col("_rows"))).alias("refused"),
+    )
+    return counts.na.fill(0)
 
 
 def append_rows(df: DataFrame, rows: Sequence[dict], moment=None) -> DataFrame:

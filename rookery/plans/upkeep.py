@@ -56,6 +56,15 @@ def _(t: Tables):
     )
 
 
+@job("k_02_report", """
+select count(*) * 2 as offered, count(case when id % 3 <> 0 then 1 end) as inserted,
+  count(case when id % 3 <> 0 then 1 end) as repeated, count(case when id % 3 = 0 then 1 end) * 2 as present,
+  cast(0 as bigint) as refused from users""")
+def _(t: Tables):
+    target = t.users.filter(F.col("id") % 3 == 0).select("id")
+    return merge.insert_report(target, t.users.select("id").unionByName(t.users.select("id")), ["id"])
+
+
 @job("k_03", """
 select relation, rows, phase from (select 'users' as relation, count(*) as rows, 'before' as phase from users
 union all select 'places', count(*), 'before' from places
@@ -246,7 +255,7 @@ def _(t: Tables):
     vertices, edges = graph.graph_frames(t.users, t.tweets, t.follows)
     added = graph.literal_graph(
         t.spark,
-        vertices=[("Account", "account:test", "my_test_account"), ("Tweet", "tweet:rt_1234", None)],
+        vertices=[("Account", "account:test", "visitor"), ("Tweet", "tweet:rt_1234", None)],
         edges=[
             ("account:test", "FOLLOWS", "account:7"), ("account:test", "POSTS", "tweet:rt_1234"),
             ("tweet:rt_1234", "RETWEETS", "tweet:1234"), ("account:test", "FOLLOWS", "account:nobody"),

@@ -23,6 +23,14 @@ def test_histogram_fills_days(spark):
     assert [(r.day.day, r.doc_count, r.a) for r in got] == [(1, 1, 2.0), (2, 0, None), (3, 1, 4.0)]
 
 
+def test_insert_report_counts_what_is_inserted(spark):
+    target = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "id int, v string")
+    load = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (2, "c"), (3, "a"), (None, "n"), (None, "m")], "id int, v string")
+    assert rows(merge.insert_report(target, load, ["id"])) == {(7, 2, 2, 1, 2)}
+    assert merge.insert_if_absent(target, load, ["id"], ["v"]).count() == 2
+    assert rows(merge.insert_report(target, load.limit(0), ["id"])) == {(0, 0, 0, 0, 0)}
+
+
 def test_top_per_key_trims_before_the_shuffle(spark):
     frame = spark.range(100).select((F.col("id") % 2).alias("k"), "id").repartition(4)
     plan = rel.top_per_key(frame, ["k"], [F.desc("id")], 3)._jdf.queryExecution().executedPlan().toString()
