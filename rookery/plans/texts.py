@@ -6,6 +6,7 @@ Search jobs read a stored index, as they would in use; it is built once per appl
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from rookery.operators import tokens as tk
 from rookery.plans.registry import job
 from rookery.views import Tables
 
+PART_CHARACTERS = 4_000_000  # of texts in one task that holds their shingles
+
 _indexes: dict[tuple, tk.TextIndex] = {}
 
 
@@ -255,7 +258,11 @@ r as (select doc_id, a as term from s union all select doc_id, a || b from s whe
 select doc_id, count(*) as shingles, count(distinct term) as distinct_shingles, min(term) as first_term,
   max(term) as last_term, cast(sum(length(term)) as bigint) as characters from r group by doc_id""")
 def _(t: Tables):
-    rows = tk.shingle_tokens(t.spread().documents, "doc_id", "text")
+    # the texts are shuffled, not their many times larger shingles: rows of one document then stay together. The number of parts
+    # goes by the characters, since AQE would merge parts by the size of the texts
+    characters = t.documents.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(characters / PART_CHARACTERS))
+    rows = tk.shingle_tokens(t.documents.repartition(parts, "doc_id"), "doc_id", "text")
     # one row per (document, shingle) first: the distinct count then needs no second shuffle of raw rows
     per_term = rows.groupBy("doc_id", "term").agg(F.count("*").alias("n"))
     return per_term.groupBy("doc_id").agg(
