@@ -144,3 +144,34 @@ def test_every_field_form_is_built(spark, small):
     assert tk.posting_rows(small.users, "id", "screen_name", "ngram").count() == tokens.count()
     shingles = tk.shingle_tokens(small.places, "id", "full_name").groupBy("doc_id", "term").count()
     assert tk.posting_rows(small.places, "id", "full_name", "shingles").count() == shingles.count()
+
+
+def test_slices_of_texts_give_the_terms_of_single_words(spark):
+    texts = ["The dog's DOGS' Running & <b>runs</b> it's", "", None, "a an the", "ΑΣ:Β ΟΔΟΣ a‘b ÉTÉ Straße x’y", "q&amp;r <i>z"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    base = tk.base_tokens(frame, "doc_id", "text")
+    plain = base.select("doc_id", "position", tx.plain_term(F.col("word")).alias("term")).filter(~F.col("term").isin(*tx.STOP_WORDS))
+    want = sorted((r.doc_id, r.position, porter_stem(r.term)) for r in plain.collect())
+    assert sorted(map(tuple, tk.english_tokens(frame, "doc_id", "text").collect())) == want
+    rows = tk.posting_rows(frame, "doc_id", "text").collect()
+    assert sorted((r.doc_id, p, r.term) for r in rows for p in r.positions) == want
+    singles = sorted((r.doc_id, r.position, r.w) for r in base.select("doc_id", "position", tx.folded(F.col("word")).alias("w")).collect())
+    assert sorted(map(tuple, tk.shingle_tokens(frame, "doc_id", "text", longest=1).collect())) == singles
+
+
+def test_texts_without_markup_are_not_searched_for_it(spark):
+    rows = spark.createDataFrame([("a < b &lt; <p>c</p>",), ("x &amp;lt; y",), ("plain",), (None,)], "text string")
+    assert [r[0] for r in rows.select(tx.strip_html(F.col("text"))).collect()] == ["a < b < \nc\n", "x &lt; y", "plain", None]
+
+
+def test_shingles_of_repeated_documents_are_not_shuffled(spark, tmp_path):
+    from rookery.plans.registry import JOBS
+    from rookery.views import Tables
+
+    rows = [(1, "b a b a"), (1, "a b c"), (2, None), (None, "z z"), (3, "one")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = JOBS["t_05"].build(Tables(spark, str(tmp_path)))
+    got = {r.doc_id: (r.shingles, r.distinct_shingles, r.first_term, r.last_term, r.characters) for r in out.collect()}
+    assert got == {1: (15, 9, "a", "c", 26), None: (3, 2, "z", "zz", 4), 3: (1, 1, "one", "one", 3)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "term" not in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
