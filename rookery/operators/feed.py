@@ -291,10 +291,14 @@ def typed_posts(tweets: DataFrame, urls: DataFrame, tags: DataFrame) -> DataFram
         "tag", "_tag"
     )
     kind = F.when(F.col("id") % 3 == 0, "image").when(F.col("id") % 3 == 1, "text").otherwise("video")
-    wide = tweets.join(links, "id", "left").join(labels, "id", "left").withColumn("type", kind)
-    return wide.select(
-        "id", F.col("user_id").alias("author_id"), "created_at", "type",
+    # only the texts that are shown go through the joins
+    posts = tweets.withColumn("type", kind).select(
+        "id", "user_id", "created_at", "type", "favorite_count",
         F.when(F.col("type") == "text", F.col("full_text")).alias("text"),
+    )
+    wide = posts.join(links, "id", "left").join(labels, "id", "left")
+    return wide.select(
+        "id", F.col("user_id").alias("author_id"), "created_at", "type", "text",
         F.when(F.col("type") == "image", F.col("_link")).alias("image_url"),
         F.when(F.col("type") == "image", F.col("_tag")).alias("caption"),
         F.when(F.col("type") == "video", F.col("_link")).alias("video_url"),

@@ -417,3 +417,26 @@ def test_texts_of_several_rings(spark):
     counts = {tuple(r) for r in geometry.vertex_table(table, "osm_id").groupBy("osm_id", "ring", "hole").count().collect()}
     assert counts == {(1, 0, False, 4), (1, 1, True, 4), (2, 0, False, 4), (2, 1, False, 4), (2, 2, True, 4),
                       (3, 0, False, 100_001), (4, 0, False, 2), (5, 0, False, 1)}
+
+
+def test_texts_join_the_tweets_last(small):
+    plan = small.tweets._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "doc_id" in joins[0] and "c_custkey" in "".join(joins[1:])
+
+
+def test_only_shown_texts_go_through_the_joins_of_posts(spark):
+    from rookery.operators import feed
+
+    tweets = spark.createDataFrame([(i, 7, "2024-01-01", f"t{i}", i) for i in range(6)], "id long, user_id long, created_at string, full_text string, favorite_count long")
+    urls = spark.createDataFrame([(0, "u0"), (2, "u2"), (2, "u1")], "tweet_id long, url string")
+    tags = spark.createDataFrame([(0, "b"), (0, "a")], "tweet_id long, tag string")
+    posts = feed.typed_posts(tweets, urls, tags)
+    assert {r.id: tuple(r)[3:] for r in posts.collect()} == {
+        0: ("image", None, "u0", "a", None, None), 3: ("image", None, None, None, None, None),
+        1: ("text", "t1", None, None, None, None), 4: ("text", "t4", None, None, None, None),
+        2: ("video", None, None, None, "u1", 2), 5: ("video", None, None, None, None, 5),
+    }
+    lines = posts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    cut = next(i for i, line in enumerate(lines) if " AS text" in line)
+    assert cut > max(i for i, line in enumerate(lines) if "Join LeftOuter" in line)
