@@ -1,3 +1,4 @@
+import datetime as dt
 import gzip
 import json
 
@@ -5,7 +6,9 @@ from pyspark.sql import functions as F
 
 from rookery.functions.scalar import parse_timestamp
 from rookery.operators import shred
+from rookery.plans import corpus
 from rookery.sources import documents as docs
+from rookery.views import Tables
 from rookery.workspace import fresh_folder
 
 
@@ -92,3 +95,62 @@ def test_timestamps(spark):
 
 def test_staged_paths_are_fresh(spark):
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
+
+
+def test_compressed_lines_are_dealt_by_place_without_a_sort(spark, tmp_path):
+    write(tmp_path, "a.jsonl.gz", [status(n) for n in range(500)])
+    lines = docs.read_lines(spark, docs.list_files(spark, str(tmp_path)), spread=6)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan and lines.rdd.getNumPartitions() == 6
+    assert sorted(json.loads(r.value)["id"] for r in lines.collect()) == list(range(500))
+
+
+def nested_tables(spark):
+    """Six statuses, two of which quote or repeat others; two documents with one id, one without a text."""
+    t = Tables(spark, "/nowhere")
+    frames = {
+        "region": ([(0, "R")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(1, "c", "m", 5.0, 0)], "c_custkey bigint, c_name string, c_mktsegment string, c_acctbal double, c_nationkey int"),
+        "orders": ([(n, dt.date(2024, 1, 1), 1, "p", 3.0, "F") for n in (1, 2, 3, 5, 49, 50)],
+                   "o_orderkey bigint, o_orderdate date, o_custkey bigint, o_orderpriority string, o_totalprice double, o_orderstatus string"),
+        "documents": ([(0, 'zero "quoted"\n\u00e9', "en"), (1, "one", "en"), (1, "one again", "de"), (2, None, "en"), (3, "", "en")],
+                      "doc_id bigint, text string, lang string"),
+        "lineitem": ([], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string"),
+        "part": ([], "p_partkey bigint, p_brand string, p_type string"),
+        "pages": ([], "page_id bigint, url string"),
+    }
+    for name, (rows, schema) in frames.items():
+        t = t.replacing(name, spark.createDataFrame(rows, schema))
+    return t
+
+
+def test_texts_join_the_lines_last(spark):
+    t = nested_tables(spark)
+    texts = corpus.numbered_texts(t)
+    thin = t.replacing("documents", texts.select("doc_id", "lang", F.when(F.col("size").isNotNull(), F.struct("text_id", "size")).alias("text")))
+    marked = [r.value for r in corpus.marked_lines(thin, "MARK").collect()]
+    assert not any("zero" in line or "again" in line for line in marked)
+
+    want = sorted((r.id, r.full_text) for r in t.tweets.select("id", "full_text").collect())
+    lines = corpus.documents_with_embedded(t).collect()
+
+    def text(doc):
+        return doc.get("full_text", doc.get("text", doc.get("extended_tweet", {}).get("full_text")))
+
+    whole = [(r.id, json.loads(r.value)) for r in lines]
+    by_id = {}
+    for n, body in want:
+        by_id.setdefault(n, set()).add(body)
+    assert {(n, text(d)) for n, d in whole} == set(want) and len({n for n, _ in whole}) == len(by_id)
+
+    def walk(doc):
+        yield doc
+        for name in ("quoted_status", "retweeted_status"):
+            if name in doc:
+                yield from walk(doc[name])
+
+    for _, top in whole:
+        for doc in walk(top):
+            assert text(doc) in by_id[int(doc["id_str"])]
+    assert any("retweeted_status" in d for _, d in whole) and any("quoted_status" in d for _, d in whole)
