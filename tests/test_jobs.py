@@ -440,3 +440,21 @@ def test_only_shown_texts_go_through_the_joins_of_posts(spark):
     lines = posts._jdf.queryExecution().optimizedPlan().toString().splitlines()
     cut = next(i for i, line in enumerate(lines) if " AS text" in line)
     assert cut > max(i for i, line in enumerate(lines) if "Join LeftOuter" in line)
+
+
+def test_nearest_points_measure_few_pairs_in_a_crowd(spark, monkeypatch):
+    placed = [(n, 10.0 + n * 1e-6, 80.0) for n in range(400)] + [(n, 10.0, 85.0) for n in range(1000, 1300)]
+    points = spark.createDataFrame(placed, "id int, x double, y double")
+    asked = spark.createDataFrame([(q, 10.0 + (q * 10 + 0.3) * 1e-6, 80.0) for q in range(40)] + [(99, 10.0, 85.01)], "query_id int, qx double, qy double")
+    pairs, best = [], spatial.best_per_key
+    monkeypatch.setattr(spatial, "best_per_key", lambda df, *a: pairs.append(df.count()) or best(df, *a))
+    got = {(r.query_id, r.id) for r in spatial.nearest_points(points, asked).collect()}
+    assert got == {(q, q * 10) for q in range(40)} | {(99, 1000)}
+    assert sum(pairs) < 4_000  # 40 queries times 400 points, and 300 in one place, were 16,300
+
+
+def test_latitudes_beyond_a_pole_lie_on_the_other_side(spark):
+    points = spark.createDataFrame([(1, -170.0, 88.0), (2, 10.0, 92.0), (3, 10.0, 88.0), (4, 10.0, -92.0), (5, -170.0, -88.0)], "id int, x double, y double")
+    asked = spark.createDataFrame([(1, 10.0, 92.001), (2, -170.0, 88.001), (3, 10.0, -92.001)], "query_id int, qx double, qy double")
+    got = {(r.query_id, r.id) for r in spatial.points_near(points, asked, 1_000.0).collect()}
+    assert got == {(1, 1), (1, 2), (2, 1), (2, 2), (3, 4), (3, 5)}
