@@ -1,6 +1,7 @@
 import datetime as dt
 import gzip
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -154,3 +155,65 @@ def test_texts_join_the_lines_last(spark):
         for doc in walk(top):
             assert text(doc) in by_id[int(doc["id_str"])]
     assert any("retweeted_status" in d for _, d in whole) and any("quoted_status" in d for _, d in whole)
+
+
+def moved(frame, capsys):
+    """The columns that each exchange of a plan moves."""
+    capsys.readouterr()
+    frame.explain("formatted")
+    return re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+
+
+def test_first_statuses_move_no_text(spark, capsys):
+    # 50 lines of two files, each with one of ten ids and a copy of the next one inside; three passes deep for id 3
+    deep = status(3, text="deep")
+    for _ in range(9):
+        deep = {"quoted_status": deep}
+    rows = [(f"f{n % 2}", status(n % 10 + 1, text=f"{n}", quoted_status=status((n + 1) % 10 + 1, text=f"in {n}"))) for n in range(50)] + [("e", deep)]
+    lines = spark.createDataFrame([(f, json.dumps(d)) for f, d in rows], "file string, value string").repartition(5)
+    statuses = shred.unroll(lines)
+    assert statuses.select("row").distinct().count() == statuses.count() == 101
+    first = shred.first_statuses(statuses)
+    got = {r.status_id: (r.file, r.depth) for r in first.collect()}
+    assert first.count() == 10 and got[3] == ("e", 9) and got[1] == ("f0", 0) and got[2] == ("f0", 1)
+    tweets = shred.relation(statuses, "tweets")
+    columns = moved(tweets, capsys)
+    assert columns and not any("doc" in c or "text" in c for c in columns)
+    texts = {r.id: r.full_text for r in tweets.collect()}
+    assert len(texts) == 10 and texts[3] == "deep" and texts[2].startswith("in ") and not texts[1].startswith("in ")
+    built, _ = shred.build_relations(statuses)
+    assert sorted(built["tweets"].select("id").collect()) == [(n,) for n in range(1, 11)]
+
+
+def test_statuses_are_written_without_a_sort(spark, capsys):
+    statuses = shred.unroll(spark.createDataFrame([("f", json.dumps(status(1)))], "file string, value string"))
+    [folder] = {f.rsplit("/", 1)[0] for f in statuses.inputFiles()}
+    assert "deeper=" not in folder
+
+
+def test_stored_lines_are_the_lines(spark, tmp_path, capsys):
+    write(tmp_path, "a.jsonl.gz", [status(n) for n in range(40)])
+    write(tmp_path, "b.jsonl", [status(n) for n in range(40, 50)])
+    paths = docs.list_files(spark, str(tmp_path))
+    lines = docs.stored_lines(spark, paths, per_file=10)
+    assert moved(lines, capsys) == [] and len(lines.inputFiles()) == 5
+    assert sorted(lines.collect()) == sorted(docs.read_lines(spark, paths).collect())
+    assert docs.stored_lines(spark, [p for p in paths if p.endswith("l")]).count() == 10
+
+
+def test_documents_go_only_to_lines_that_embed_them(spark, capsys):
+    t = nested_tables(spark)
+    thin = t.replacing("documents", t.documents.select("doc_id", "lang", F.struct(F.col("doc_id").alias("text_id"), F.length("text").alias("size")).alias("text")))
+    lines = corpus.marked_lines(thin, "MARK")
+    capsys.readouterr()
+    lines.explain("formatted")
+    assert capsys.readouterr().out.count("doc:struct") == 2  # once for the lines, once for what they embed
+    tops = [json.loads(r.value) for r in lines.filter("id <> 50").collect()]
+    # the first row and its quote come twice, since two texts go by one number
+    by_id = {r.id: r for r in t.tweets.collect()}
+    for top in tops:
+        target = by_id[int(top["id_str"])].retweeted_status_id
+        assert ("retweeted_status" in top) == (target in by_id)
+        assert "retweeted_status" not in top or int(top["retweeted_status"]["id_str"]) == target
+        target = by_id[int(top["id_str"])].quoted_status_id
+        assert ("quoted_status" in top) == (target in by_id)
