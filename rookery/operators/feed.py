@@ -18,6 +18,8 @@ from rookery.workspace import literal_table
 FEED_SIZE = 50
 OWN_SIZE = 10
 COMMENTS_SIZE = 3
+EDGES_PER_TASK = 25_000  # of follows, each of which brings at most the feed's size of posts
+POSTS_PER_TASK = 500_000
 
 
 def _newest(*columns: str):
@@ -152,16 +154,24 @@ def apply_comments(entries: DataFrame, new_comments: DataFrame, n: int = COMMENT
     )
 
 
+def _once_per_user(old: DataFrame, fresh: DataFrame, tasks: int) -> DataFrame:
+    """Old and fresh rows, each post of a user once.
+
+    They are dealt out by user, for this step and the ranking after it. The number of tasks is a bound that grows with the input:
+    left to the size of a shuffle, whose short rows compress well, one task held the posts of all users.
+    """
+    return old.drop("rank").unionByName(fresh).repartition(tasks, "user_id").dropDuplicates(["user_id", "post_id"])
+
+
 def apply_posts(entries: DataFrame, new_cards: DataFrame, follows: DataFrame, n: int = FEED_SIZE) -> DataFrame:
     """Feeds after a batch of new posts: old entries and delivered new ones, ranked again; a replayed batch changes nothing."""
     fresh = deliver(newest_per_author(new_cards, n), follows)
-    both = entries.drop("rank").unionByName(fresh).dropDuplicates(["user_id", "post_id"])
-    return _rank_feed(both, n)
+    return _rank_feed(_once_per_user(entries, fresh, 1 + follows.count() // EDGES_PER_TASK), n)
 
 
 def apply_own_posts(own: DataFrame, new_cards: DataFrame, n: int = OWN_SIZE) -> DataFrame:
     fresh = newest_per_author(new_cards, n).withColumnRenamed("author_id", "user_id")
-    both = own.drop("rank").unionByName(fresh).dropDuplicates(["user_id", "post_id"])
+    both = _once_per_user(own, fresh, 1 + (own.count() + new_cards.count()) // POSTS_PER_TASK)
     return top_per_key(both, ["user_id"], _newest("created_at", "post_id"), n)
 
 

@@ -72,6 +72,22 @@ def test_incremental_feed_equals_rebuild(small):
     assert packed.count() == whole.select("user_id").distinct().count()
 
 
+def test_feed_updates_are_dealt_out_by_the_input(spark, monkeypatch):
+    monkeypatch.setattr(feed, "EDGES_PER_TASK", 10)
+    monkeypatch.setattr(feed, "POSTS_PER_TASK", 20)
+    at = F.timestamp_seconds(F.col("id") * 60)
+    posts = spark.range(200).select((F.col("id") % 40).alias("author_id"), F.col("id").alias("post_id"), at.alias("created_at"))
+    follows = spark.range(160).select((F.col("id") % 40).alias("follower_id"), ((F.col("id") * 7 + 1) % 40).alias("followee_id")).distinct()
+    old, new = posts.filter("post_id < 150"), posts.filter("post_id >= 100")  # fifty come twice
+    feeds = feed.apply_posts(feed.build_feeds(old, follows, 3), new, follows, 3)
+    own = feed.apply_own_posts(feed.own_posts(old, 3), new, 3)
+    assert feeds.rdd.getNumPartitions() == 1 + follows.count() // 10
+    assert own.rdd.getNumPartitions() == 1 + (120 + 100) // 20
+    columns = ["user_id", "rank", "post_id"]
+    assert rows(feeds.select(columns)) == rows(feed.build_feeds(posts, follows, 3).select(columns))
+    assert rows(own.select(columns)) == rows(feed.own_posts(posts, 3).select(columns))
+
+
 def test_projection_round_trip_and_known_point(spark):
     # a published check value of the projection lies in the west and south: both axes negative
     frame = spark.createDataFrame([(14.42, 50.09), (17.1, 48.15), (22.5, 49.0)], "x double, y double")
