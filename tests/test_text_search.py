@@ -112,6 +112,18 @@ def test_index_of_odd_texts(spark):
     assert search.match(empty, ["x"]).count() == 0 and search.phrase(empty, [("x", 0)]).count() == 0
 
 
+def test_postings_are_written_where_they_are_made(spark):
+    before = spark.conf.get(tk.WRITERS)
+    frame = docs(spark, *[f"the zebra ate {i} apples" for i in range(6)]).repartitionByRange(3, "doc_id")
+    index = tk.store_index(tk.posting_rows(frame, "doc_id", "text", "plain"), 4)
+    folder = f"/bucket={tk.bucket_of('zebra', 4)}/"
+    assert len([f for f in index.postings.inputFiles() if folder in f]) == 3  # one a task: no shuffle gathered them
+    assert [r.doc_freq for r in index.terms.filter("term = 'zebra'").collect()] == [6]
+    assert spark.conf.get(tk.WRITERS) == before
+    rows = tk.posting_rows(frame.coalesce(1), "doc_id", "text", "plain").collect()
+    assert [(r.term, r.doc_id) for r in rows] == sorted((r.term, r.doc_id) for r in rows) and sum(r.leads for r in rows) == 6
+
+
 def test_repeated_terms_in_a_phrase(spark):
     index = tk.store_index(tk.posting_rows(docs(spark, "die die die", "die der die", "die"), "doc_id", "text", "plain"), 4)
     found = search.phrase(index, [("die", 0), ("die", 1)]).collect()
