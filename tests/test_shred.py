@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rookery.functions.scalar import parse_timestamp
 from rookery.operators import shred
-from rookery.plans import corpus
+from rookery.plans import corpus, ingest
 from rookery.sources import documents as docs
 from rookery.views import Tables
 from rookery.workspace import fresh_folder
@@ -217,3 +217,11 @@ def test_documents_go_only_to_lines_that_embed_them(spark, capsys):
         assert "retweeted_status" not in top or int(top["retweeted_status"]["id_str"]) == target
         target = by_id[int(top["id_str"])].quoted_status_id
         assert ("quoted_status" in top) == (target in by_id)
+
+
+def test_lines_that_are_parsed_lie_in_files_that_split(small):
+    lines = ingest.checked(small)
+    assert not [f for f in lines.inputFiles() if f.endswith(".gz")]
+    names = lambda df: sorted((r.file, r.value) for r in df.select("file", "value").collect())
+    assert names(lines) == names(docs.clean_lines(corpus.corpus_lines(small)))
+    assert ingest.lines(small) is ingest.lines(small)
