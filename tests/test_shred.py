@@ -10,7 +10,8 @@ from rookery.operators import shred
 from rookery.plans import corpus, ingest
 from rookery.sources import documents as docs
 from rookery.views import Tables
-from rookery.workspace import fresh_folder
+from rookery import workspace
+from rookery.workspace import fresh_folder, stage
 
 
 def status(n, **more):
@@ -225,3 +226,38 @@ def test_lines_that_are_parsed_lie_in_files_that_split(small):
     names = lambda df: sorted((r.file, r.value) for r in df.select("file", "value").collect())
     assert names(lines) == names(docs.clean_lines(corpus.corpus_lines(small)))
     assert ingest.lines(small) is ingest.lines(small)
+
+
+def test_shards_are_joined_from_compressed_parts(spark, tmp_path):
+    lines = spark.range(3000).select((F.col("id") % 8).cast("int").alias("shard"), F.concat(F.lit("line "), "id").alias("value"))
+    parts = corpus.write_parts(lines.repartition(3, "value"))
+    corpus.join_parts(spark, parts, f"{tmp_path}/made")
+    paths = docs.list_files(spark, f"{tmp_path}/made", corpus.PATTERNS)
+    assert len(paths) == 8 and [p.endswith(".gz") for p in paths] == [False] + [True] * 7
+    read = docs.read_lines(spark, paths).select(corpus.shard_of("file"), "value").collect()
+    assert sorted(read) == sorted(lines.collect())
+    second = paths[2].removeprefix("file:")
+    assert open(second, "rb").read().count(b"\x1f\x8b\x08") >= 3  # a member a task
+    assert len(gzip.open(second, "rt").read().splitlines()) == 375
+    assert not workspace.folder_names(spark, parts)
+
+
+def test_a_corpus_leaves_only_its_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_root", lambda _: str(tmp_path))
+    t = nested_tables(spark)
+    t.sf_dir = str(tmp_path)
+    folder = corpus.corpus_folder(t)
+    assert [p.name for p in (tmp_path / "rookery").iterdir()] == [folder.rsplit("/", 1)[1]]
+    assert {r[0] for r in corpus.corpus_lines(t).select(corpus.shard_of("file")).collect()} == {n % 8 for n in (1, 2, 3, 5, 49, 50)}
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    shuffles = lambda: {r for r in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("|").split("|") if "shuffle_" in r}
+    before, setting = shuffles(), spark.conf.get(workspace.SHUFFLE_CLEANUP)
+    with workspace.shuffles_removed(spark):
+        kept = stage(spark.range(1000).repartition(5, "id"), "dealt")
+    assert kept.count() == 1000 and spark.conf.get(workspace.SHUFFLE_CLEANUP) == setting
+    kept = stage(spark.range(1000).repartition(5, "id").groupBy("id").count(), "dealt")
+    made = shuffles() - before
+    assert kept.count() == 1000 and not made
+    assert spark.conf.get(workspace.SHUFFLE_CLEANUP) == setting
