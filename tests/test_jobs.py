@@ -11,6 +11,7 @@ from rookery.functions import geo
 from rookery.operators import feed, graph, merge, relational as rel, spatial
 from rookery.streaming import jobs
 from rookery.streaming.tables import KeyedTable
+from rookery import workspace
 
 
 def rows(df):
@@ -474,3 +475,17 @@ def test_latitudes_beyond_a_pole_lie_on_the_other_side(spark):
     asked = spark.createDataFrame([(1, 10.0, 92.001), (2, -170.0, 88.001), (3, 10.0, -92.001)], "query_id int, qx double, qy double")
     got = {(r.query_id, r.id) for r in spatial.points_near(points, asked, 1_000.0).collect()}
     assert got == {(1, 1), (1, 2), (2, 1), (2, 2), (3, 4), (3, 5)}
+
+
+def test_a_batch_of_lines_leaves_no_staged_tables(spark, tmp_path, monkeypatch):
+    import gzip
+
+    (tmp_path / "in").mkdir()
+    with gzip.open(tmp_path / "in" / "a.txt.gz", "wt") as out:
+        out.writelines(json.dumps({"id": n, "text": f"t{n}", "user": {"id": n % 7, "screen_name": "u"}}) + "\n" for n in range(1, 50))
+        out.write("{broken\n")
+    monkeypatch.setattr(workspace, "shared_root", lambda _: f"{tmp_path}/shared")
+    grown = jobs.grow_relations(spark, f"{tmp_path}/in", "*.txt*", f"{tmp_path}/out", f"{tmp_path}/at")
+    assert list((tmp_path / "shared" / "rookery").iterdir()) == []
+    assert {r.full_text for r in grown["tweets"].collect()} == {f"t{n}" for n in range(1, 50)} and grown["users"].count() == 7
+    assert [r.reason for r in spark.read.parquet(f"{tmp_path}/out/refused").collect()] == ["not valid JSON"]
