@@ -294,6 +294,16 @@ def profiles(
     return cards.join(newest, "id", "left")
 
 
+def with_texts(posts: DataFrame, texts: DataFrame) -> DataFrame:
+    """Posts whose ``text`` is a number, with the text of that number in ``texts`` (text_id, body) instead.
+
+    A text moves once, however many posts show it; posts without one are spread over all tasks.
+    """
+    home = F.coalesce("text", -1 - F.monotonically_increasing_id())
+    found = posts.withColumn("_home", home).join(texts, F.col("_home") == F.col("text_id"), "left")
+    return found.select(*[F.col("body").alias("text") if c == "text" else F.col(c) for c in posts.columns])
+
+
 def typed_posts(tweets: DataFrame, urls: DataFrame, tags: DataFrame) -> DataFrame:
     """One wide table for text, image and video posts; each kind fills its own columns."""
     links = urls.groupBy(F.col("tweet_id").alias("id")).agg(F.min("url").alias("_link"))

@@ -12,6 +12,7 @@ from rookery.plans.registry import job
 from rookery.plans.relational import stamped
 from rookery.plans.upkeep import TYPED_SQL
 from rookery.views import Tables
+from rookery.workspace import stage
 
 
 def busy_comments(t: Tables):
@@ -200,4 +201,8 @@ with {TYPED_SQL}
 select id, author_id, strftime(created_at, '%Y-%m-%d %H:%M:%S') as created_at, type, text, image_url, caption,
   video_url, duration from typed""")
 def _(t: Tables):
-    return stamped(feed.typed_posts(t.tweets, t.tweet_urls, t.tweet_hashtag))
+    # the tweets carry the number of their text through all joins
+    texts = stage(t.documents.select("doc_id", "lang", F.monotonically_increasing_id().alias("text_id"), F.col("text").alias("body")), "texts")
+    thin = t.replacing("documents", texts.select("doc_id", "lang", F.when(F.col("body").isNotNull(), F.col("text_id")).alias("text")))
+    posts = feed.typed_posts(thin.tweets, t.tweet_urls, t.tweet_hashtag)
+    return stamped(feed.with_texts(posts, texts.select("text_id", "body")))

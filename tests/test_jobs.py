@@ -489,3 +489,30 @@ def test_a_batch_of_lines_leaves_no_staged_tables(spark, tmp_path, monkeypatch):
     assert list((tmp_path / "shared" / "rookery").iterdir()) == []
     assert {r.full_text for r in grown["tweets"].collect()} == {f"t{n}" for n in range(1, 50)} and grown["users"].count() == 7
     assert [r.reason for r in spark.read.parquet(f"{tmp_path}/out/refused").collect()] == ["not valid JSON"]
+
+
+def test_typed_posts_carry_numbers_until_their_texts_join(spark, capsys):
+    numbers = [(1, 7), (4, 7), (7, None), (10, 9), (2, 7), (4, 8)]
+    posts = spark.createDataFrame([(i, "text" if i % 3 == 1 else "video", n if i % 3 == 1 else None) for i, n in numbers], "id bigint, type string, text bigint")
+    texts = spark.createDataFrame([(7, "seven"), (8, "eight"), (9, None)], "text_id bigint, body string")
+    shown = feed.with_texts(posts, texts)
+    assert shown.columns == posts.columns
+    assert sorted((r.id, r.text) for r in shown.collect() if r.text) == [(1, "seven"), (4, "eight"), (4, "seven")]
+    assert sorted(r.id for r in shown.collect()) == [1, 2, 4, 4, 7, 10]
+
+
+def test_wide_posts_shuffle_each_text_once(spark, small, capsys):
+    from rookery.plans import JOBS
+
+    moved = JOBS["f_11"].build(small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        capsys.readouterr()
+        JOBS["f_11"].build(small).explain("formatted")
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [e for e in plan.split("\n\n") if "Exchange" in e.split("\n")[0]]
+    assert exchanges and sum("body" in e or "full_text" in e for e in exchanges) == 1
+    want = {(r.id, r.full_text) for r in small.tweets.collect() if r.id % 3 == 1}
+    assert {(r.id, r.text) for r in moved.collect() if r.type == "text"} == want
